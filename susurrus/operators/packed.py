@@ -40,14 +40,14 @@ def delimiter_scores(df: DataFrame, source: str, cell: str) -> DataFrame:
     One aggregation with a map-side combine; its result has at most one row a source and candidate.
     """
     masked = df.select(F.col(source).alias("source"), _masked(F.col(cell)).alias("m")).where(F.col("m") != "")
-    pieces = lambda chars: F.filter(F.transform(F.split("m", f"[{_cls(chars)}]"), F.trim), lambda p: p != "")
+    pieces = lambda chars: F.filter(F.transform(F.split("m", f"[{_cls(chars)}]"), lambda p: F.trim(p)), lambda p: p != "")
     masked = masked.withColumn("strong", F.col("m").rlike(f"[{_cls(STRONG)}]")).withColumn("all", pieces(STRONG)).withColumn("by_blank", pieces([BLANK]))
     rows = masked.select(
         "source", "all", "by_blank", "m",
         F.explode(F.array(*[F.when(F.contains(F.col("m"), F.lit(d)), F.lit(d)) for d in STRONG], F.when(~F.col("strong") & F.contains(F.col("m"), F.lit(BLANK)), F.lit(BLANK)))).alias("delimiter"),
     ).where(F.col("delimiter").isNotNull())
     own = F.when(F.col("delimiter") == BLANK, F.col("by_blank")).otherwise(F.col("all"))
-    alone = F.filter(F.transform(F.split("m", F.concat(F.lit("\\Q"), "delimiter", F.lit("\\E"))), F.trim), lambda p: p != "")
+    alone = F.filter(F.transform(F.split("m", F.concat(F.lit("\\Q"), "delimiter", F.lit("\\E"))), lambda p: F.trim(p)), lambda p: p != "")
     number = lambda p: p.rlike(NUMBER) | (p == HELD)
     share = lambda f: F.size(F.filter(own, f)) / F.greatest(F.size(own), F.lit(1))
     return (
