@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import sampling, splits
+from . import leaks, sampling, splits
 
 
 # 2: splits that keep related records together
@@ -99,3 +99,31 @@ SELECT min(v) AS group_id, u AS id FROM r GROUP BY u HAVING min(v) <> u
 
 QUERIES = {"p2_found": p2_found, "p2_split": p2_split, "p2_shares": p2_shares, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report}
 ORACLES = {"p2_found": P2_FOUND, "p4_found": P4_FOUND}
+
+
+# 8: evaluation texts leaking into training text
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_item"), "item_id", "text")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with eight or more consecutive words of an item."""
+    return _leaks(spark, d).select("doc_id", "item_id")
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    """Per leaked item: its documents and the longest leak in words."""
+    x = _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
+    return table(spark, d, "eval_item").select("item_id", "suite").join(F.broadcast(x), "item_id")
+
+
+_P8 = r"""
+WITH f AS (SELECT '([\x{AD}\x{200B}-\x{200F}\x{2060}-\x{2064}\x{FEFF}])' AS inv),
+n AS (SELECT doc_id, regexp_extract_all(lower(translate(regexp_replace(text, (SELECT inv FROM f), '', 'g'),
+  'ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ０１２３４５６７８９　', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789 ')), '[\p{L}\p{N}]+') AS w FROM documents),
+i AS (SELECT item_id, suite, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_item),
+ds AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 7), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS k FROM n WHERE len(w) >= 8)),
+es AS (SELECT DISTINCT item_id, suite, array_to_string(list_slice(w, k, k + 7), ' ') AS s FROM (SELECT item_id, suite, w, unnest(range(1, len(w) - 6)) AS k FROM i WHERE len(w) >= 8))
+"""
+QUERIES |= {"p8_found": p8_found, "p8_items": p8_items}
+ORACLES |= {"p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM ds JOIN es USING (s)"}
