@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
-from . import leaks, sampling, splits
+from ..sources.tables import cut, table
+from . import canonical, leaks, sampling, splits
 
 
 # 2: splits that keep related records together
@@ -62,8 +62,8 @@ def _units(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """Targets that cannot be met."""
-    return sampling.unmet(_units(spark, d), table(spark, d, "sample_target"))
+    """Targets that cannot be met, from the report of the draw."""
+    return p4_report(spark, d).where("not met").select("scope", "category")
 
 
 def p4_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -127,3 +127,32 @@ es AS (SELECT DISTINCT item_id, suite, array_to_string(list_slice(w, k, k + 7),
 """
 QUERIES |= {"p8_found": p8_found, "p8_items": p8_items}
 ORACLES |= {"p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM ds JOIN es USING (s)"}
+
+
+# 5: mapping free-entered values to canonical list
+def _typed(spark: SparkSession, d: str) -> DataFrame:
+    """Rows (label_id, field_name, typed): values that are not null, blank, `fail` or letter for letter an alias."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("typed")) for f in ("subject", "object")])
+    rows = table(spark, d, "train_label").select("label_id", F.explode(pairs).alias("x")).select("label_id", "x.*").where(r"typed is not null and not typed rlike '(?U)^\\s*$' and lower(trim(typed)) <> 'fail'")
+    return rows.join(F.broadcast(table(spark, d, "noun_alias_v1").select(F.col("alias").alias("typed"))), "typed", "left_anti")
+
+
+def _mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows = _typed(spark, d)
+    counted = cut(rows.groupBy(F.col("typed").alias("value")).agg(F.count("*").alias("n")))
+    return rows, counted, canonical.match(counted, "value", table(spark, d, "noun_alias_v1"), "alias", "group_id")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """The group, or `unmatched`, of every value that isn't itself an alias."""
+    rows, counted, found = _mapped(spark, d)
+    return canonical.attach(rows, "typed", counted, found).select("label_id", "field_name", F.col("group").alias("group_id"))
+
+
+def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Values that stand for no group, with their number of rows."""
+    _, counted, found = _mapped(spark, d)
+    return counted.join(found.where(F.col("group") == canonical.UNMATCHED).select("value"), "value").select("value", "n")
+
+
+QUERIES |= {"p5_found": p5_found, "p5_unmatched": p5_unmatched}

@@ -19,13 +19,6 @@ def categories(units: DataFrame, targets: DataFrame) -> DataFrame:
     return targets.join(have, ["scope", "category"], "left").fillna(0, ["available"])
 
 
-def unmet(units: DataFrame, targets: DataFrame) -> DataFrame:
-    """Rows (scope, category) of `targets` where fewer units are available than the greater of `min_rows` and
-    `target_share * sample_rows`. Null shares and minima count as 0."""
-    want = F.greatest(F.coalesce("min_rows", F.lit(0)).cast("double"), F.coalesce(F.col("target_share") * F.col("sample_rows"), F.lit(0.0)))
-    return categories(units, targets).where(F.col("available") < want).select("scope", "category")
-
-
 def wanted(rows: list[dict]) -> dict[str, float]:
     """Expected sample size of each category of one scope: max(min_rows, k * share), at most what is available, with one k
     for all so that the sizes add up to `sample_rows` (or to all that is available, if that is less)."""
