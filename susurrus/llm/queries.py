@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import cut, table
-from . import canonical, leaks, sampling, splits
+from . import canonical, consensus, leaks, sampling, splits
 
 
 # 2: splits that keep related records together
@@ -156,3 +156,38 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p5_found": p5_found, "p5_unmatched": p5_unmatched}
+
+
+# 6: consensus from several annotators' labels
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """The consensus verb (with `_`) and object (with blanks) of every item."""
+    found, _ = consensus.fit(consensus.votes(table(spark, d, "manual_gt_example")))
+    return found.select(F.col("item").alias("item_id"), F.translate("verb", " ", "_").alias("verb"), "object")
+
+
+def p6_annotators(spark: SparkSession, d: str) -> DataFrame:
+    """Ability and reliability of every annotator."""
+    return consensus.fit(consensus.votes(table(spark, d, "manual_gt_example")))[1]
+
+
+def p6_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """Chance-corrected agreement of both fields."""
+    return consensus.agreement(consensus.votes(table(spark, d, "manual_gt_example")))
+
+
+P6_AGREEMENT = r"""
+WITH n AS (SELECT item_id AS item, coalesce(annotation.annotator_id, '') AS a, submitted_at, gt_row_id,
+    trim(regexp_replace(lower(replace(gt.verb, '_', ' ')), '\s+', ' ', 'g')) AS verb, coalesce(trim(regexp_replace(lower(replace(gt.object, '_', ' ')), '\s+', ' ', 'g')), '') AS object
+  FROM manual_gt_example WHERE item_id IS NOT NULL AND lower(trim(coalesce(annotation.status, ''))) NOT IN ('pending', 'skip', 'skipped', 'invalid', 'excluded')),
+v AS (SELECT * FROM n WHERE verb <> '' QUALIFY row_number() OVER (PARTITION BY item, a ORDER BY submitted_at DESC, gt_row_id DESC) = 1),
+l AS (SELECT item, 'verb' AS field, verb AS label FROM v UNION ALL SELECT item, 'object', object FROM v),
+c AS (SELECT field, item, label, count(*) AS n FROM l GROUP BY ALL),
+p AS (SELECT field, item, sum(n) AS m, sum(n * (n - 1)) AS same FROM c GROUP BY ALL HAVING sum(n) > 1),
+s AS (SELECT field, count(*) AS items, CAST(sum(m) AS BIGINT) AS votes, sum(same / (m - 1)) AS agree FROM p GROUP BY field),
+b AS (SELECT field, label, sum(n) AS n FROM c SEMI JOIN p USING (field, item) GROUP BY ALL),
+h AS (SELECT field, sum(n * (n - 1)) AS chance FROM b GROUP BY field),
+o AS (SELECT field, items, votes, agree / votes AS observed, chance / (votes * (votes - 1)) AS expected FROM s JOIN h USING (field))
+SELECT *, CASE WHEN expected < 1 THEN 1 - (1 - observed) / (1 - expected) END AS alpha FROM o
+"""
+QUERIES |= {"p6_found": p6_found, "p6_annotators": p6_annotators, "p6_agreement": p6_agreement}
+ORACLES |= {"p6_agreement": P6_AGREEMENT}
