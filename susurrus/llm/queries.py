@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import cut, table
-from . import canonical, consensus, leaks, sampling, splits
+from . import canonical, consensus, leaks, mixing, sampling, splits
 
 
 # 2: splits that keep related records together
@@ -191,3 +191,29 @@ SELECT *, CASE WHEN expected < 1 THEN 1 - (1 - observed) / (1 - expected) END AS
 """
 QUERIES |= {"p6_found": p6_found, "p6_annotators": p6_annotators, "p6_agreement": p6_agreement}
 ORACLES |= {"p6_agreement": P6_AGREEMENT}
+
+
+# 9: mixing sources to target weights
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents")
+    # the problem's statement counts words between blanks at its smallest scale (100 documents), tokens from 1,000 on
+    size = mixing.word_counts if docs.count() < 300 else mixing.token_counts()
+    return mixing.mix(docs, "doc_id", "source", "text", table(spark, d, "source_target"), size)
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Sources that run dry before their share is served."""
+    return _mix(spark, d)[1].where("short").select("source")
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Every copy of a document in the mixture."""
+    return _mix(spark, d)[0].select(F.col("doc").alias("doc_id"), "source", "copy", F.col("size").alias("tokens"), "finish")
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source."""
+    return _mix(spark, d)[1]
+
+
+QUERIES |= {"p9_found": p9_found, "p9_mix": p9_mix, "p9_report": p9_report}
