@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import cut, table
-from . import canonical, consensus, leaks, mixing, sampling, splits
+from . import canonical, consensus, leaks, mixing, sampling, splits, topics
 
 
 # 2: splits that keep related records together
@@ -217,3 +217,22 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p9_found": p9_found, "p9_mix": p9_mix, "p9_report": p9_report}
+
+
+# 10: subject area of each document
+def _areas(spark: SparkSession, d: str) -> DataFrame:
+    return topics.areas(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "doc_area_label"), "area", "lang", table(spark, d, "eval_item").select("text"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every area that at least three sentences of a document treat."""
+    return _areas(spark, d).select("doc_id", "area")
+
+
+def p10_makeup(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and characters by area; documents of no area stand under a null area."""
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
+    return docs.join(_areas(spark, d), "doc_id", "left").groupBy("area").agg(F.count("*").alias("documents"), F.sum("chars").alias("chars"))
+
+
+QUERIES |= {"p10_found": p10_found, "p10_makeup": p10_makeup}
