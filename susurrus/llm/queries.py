@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import cut, table
-from . import canonical, consensus, leaks, mixing, sampling, splits, topics
+from . import canonical, consensus, languages, leaks, mixing, sampling, splits, topics
 
 
 # 2: splits that keep related records together
@@ -236,3 +236,21 @@ def p10_makeup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p10_found": p10_found, "p10_makeup": p10_makeup}
+
+
+# 1: missing or wrong document language labels
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    return languages.language_runs(table(spark, d, "timeline").select("line_id", "title", "lang"), "line_id", "title", "lang")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The runs of every title with a missing or wrong language, or with several."""
+    return _runs(spark, d).where((F.col("runs") > 1) | ~F.col("declared").eqNullSafe(F.col("lang"))).select("line_id", "run_no", "lang")
+
+
+def p1_runs(spark: SparkSession, d: str) -> DataFrame:
+    """All runs with their confidence."""
+    return _runs(spark, d)
+
+
+QUERIES |= {"p1_found": p1_found, "p1_runs": p1_runs}
