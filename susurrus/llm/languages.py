@@ -182,7 +182,7 @@ def fit(texts: list[str], langs: list[str | None], rounds: int = 1) -> tuple[Tre
         if y >= 0:
             for w in {t[a:b] for a, b in word_spans(t)}:
                 seen.setdefault(w, np.zeros(len(LANGUAGES)))[y] += 1 / size[y]
-    return trees, {w for w, n in seen.items() if n.max() < 0.4 * n.sum() and (n > 0).sum() >= 4}
+    return trees, {w for w, n in seen.items() if n.max() < 0.4 * n.sum() and (n > 0).sum() >= max(4, 0.7 * len(set(known)))}
 
 
 def best_path(cost: np.ndarray, change: np.ndarray, sizes: np.ndarray) -> np.ndarray:
