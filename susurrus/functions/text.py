@@ -29,6 +29,11 @@ FAILURES = [
 ]
 
 
+def let(x: Column, f) -> Column:
+    """f(x) with x evaluated once, so that a long chain of rules doesn't repeat its input in the generated code."""
+    return F.element_at(F.transform(F.array(x), lambda v: f(v)), 1)
+
+
 def stripped(x: Column) -> Column:
     """Without outer white space of any kind."""
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
@@ -60,10 +65,9 @@ def audit_text(x: Column) -> Column:
 
 def noun(x: Column) -> Column:
     """Audit text with body parts and microphone words in one form."""
-    t = audit_text(x)
     parts = F.create_map(*[F.lit(v) for kv in BODY_PARTS.items() for v in kv])
-    t = F.coalesce(F.try_element_at(parts, t), t)
-    return F.when(F.contains(t, F.lit("3dio")), "3dio mic").when(t.isin(MIC_WORDS), "mic").otherwise(t)
+    rules = lambda t: F.when(F.contains(t, F.lit("3dio")), "3dio mic").when(t.isin(MIC_WORDS), "mic").otherwise(F.coalesce(F.try_element_at(parts, t), t))
+    return let(audit_text(x), rules)
 
 
 def slug(x: Column) -> Column:
@@ -118,10 +122,9 @@ def tool(x: Column) -> Column:
 
 def noun_phrase(x: Column) -> Column:
     """noun, colours dropped, tools and wax in one form, noun again; `fail` stays."""
-    t = F.regexp_replace(tool(without_colours(noun(x))), "sealing wax", "wax")
-    t = noun(t)
-    t = F.when(F.contains(t, F.lit("recorder")) & ~F.contains(t, F.lit("mic")), "mic").otherwise(t)
-    return F.when(is_fail(x), "fail").otherwise(none_if_empty(t))
+    t = F.regexp_replace(let(without_colours(noun(x)), tool), "sealing wax", "wax")
+    recorder = lambda t: F.when(F.contains(t, F.lit("recorder")) & ~F.contains(t, F.lit("mic")), "mic").otherwise(none_if_empty(t))
+    return F.when(is_fail(x), "fail").otherwise(let(noun(t), recorder))
 
 
 def is_fail(x: Column) -> Column:
@@ -148,7 +151,7 @@ def detail(x: Column, limit: int = 500) -> Column:
 
 
 def failure_reason(x: Column) -> Column:
-    return first_hit(F.lower(detail(x)), FAILURES, "unknown")
+    return let(F.lower(detail(x)), lambda t: first_hit(t, FAILURES, "unknown"))
 
 
 def audio_id(path: Column) -> Column:

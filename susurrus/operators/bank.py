@@ -50,20 +50,16 @@ def material_groups(df: DataFrame, prefix: str, keys: list[str], material: str,
     return y.withColumn("group_id", F.when(F.col("n") > 1, F.concat("group_id", ending)).otherwise(F.col("group_id"))).drop("n")
 
 
-def options(questions: DataFrame, pool: DataFrame, qid: str, gold: str, group: str, most: int = 4) -> DataFrame:
-    """Rows (qid, label, value, source): gold, the other values of its group, then distant values of the pool in hash order
-    up to `most`; their order is by hash too.
-
-    `pool` (one column, a closed vocabulary) is collected into one array, so each question is one row throughout.
-    """
-    values = F.broadcast(pool.agg(F.array_sort(F.collect_set(pool.columns[0])).alias("__pool")))
+def options(questions: DataFrame, pool: list[str], qid: str, gold: str, group: str, most: int = 4) -> DataFrame:
+    """Rows (qid, label, value, source): gold, the other values of its group, then distant values of `pool` (a closed
+    vocabulary) in hash order up to `most`; their order is by hash too. Each question is one row until its options are
+    exploded; nothing is shuffled."""
     near = F.concat(F.array(F.col(gold)), F.array_sort(F.array_except(F.col(group), F.array(F.col(gold)))))
     hashed = lambda seed, arr: F.transform(F.array_sort(F.transform(arr, lambda v: F.struct(stable_hash(seed, v).alias("h"), v.alias("v")))), lambda s: s["v"])
-    x = questions.join(values, how="cross").withColumn("__near", near)
-    far = F.filter("__pool", lambda v: ~F.array_contains("__near", v) & (family(v) != family(F.col(gold))))
+    x = questions.withColumn("__near", near)
+    far = F.filter(F.array(*[F.lit(v) for v in sorted(set(pool))]), lambda v: ~F.array_contains("__near", v) & (family(v) != family(F.col(gold))))
     x = x.withColumn("__pad", hashed(F.concat(F.col(qid), F.lit(":pad")), far))
-    x = x.withColumn("__all", F.slice(F.concat("__near", "__pad"), 1, most))
-    x = x.withColumn("__shown", hashed(F.col(qid), F.col("__all")))
+    x = x.withColumn("__shown", hashed(F.col(qid), F.slice(F.concat("__near", "__pad"), 1, most)))
     x = x.select(qid, gold, "__near", F.posexplode("__shown").alias("k", "value"))
     source = F.when(F.col("value") == F.col(gold), "target").when(F.array_contains("__near", F.col("value")), "same_group").otherwise("distant_pool")
     return x.select(qid, F.element_at(F.array(*[F.lit(c) for c in LETTERS]), F.col("k") + 1).alias("label"), "value", source.alias("source"))

@@ -13,11 +13,11 @@ def answered(questions: DataFrame, predictions: DataFrame) -> DataFrame:
     """Rows (run_id, question) with `correct` and `class_ok`: every question in every run, a missing prediction is wrong.
 
     questions: question_id, task, gold_label, options array<struct<label, value, verb_class>>; predictions: run_id,
-    question_id, pred. The list of runs is tiny (one row a run) and broadcast.
+    question_id, pred. The list of runs (one entry a run) becomes a literal that each question is exploded by.
     """
-    runs = F.broadcast(predictions.select("run_id").distinct())
+    runs = F.array(*[F.lit(x[0]) for x in predictions.select("run_id").distinct().orderBy("run_id").collect()]).cast(f"array<{dict(predictions.dtypes)['run_id']}>")
     option = lambda label: F.get(F.filter("options", lambda o: o["label"] == label), 0)["verb_class"]
-    grid = questions.join(runs, how="cross").join(predictions, ["run_id", "question_id"], "left")
+    grid = questions.withColumn("run_id", F.explode(runs)).join(predictions, ["run_id", "question_id"], "left")
     gold = option(F.col("gold_label"))
     return grid.select(
         "run_id", "question_id", "task", F.coalesce(F.upper(F.trim("pred")) == F.upper(F.trim("gold_label")), F.lit(False)).cast("int").alias("correct"),
@@ -77,7 +77,8 @@ def accuracy(pairs: DataFrame, gold: str, pred: str) -> DataFrame:
 
 
 def cohen_kappa(pairs: DataFrame, keys: list[str], left: str, right: str) -> DataFrame:
-    """Rows (keys, n, observed, expected, kappa); null is a label like any other; kappa is 1 or 0 where chance agrees fully."""
+    """Rows (keys, n, observed, expected, kappa); null is a label like any other; kappa is 1 or 0 where chance agrees fully. `keys` has
+    at least one column."""
     cells = pairs.groupBy(*keys, F.col(left).alias("l"), F.col(right).alias("r")).agg(F.count("*").alias("n"))
     whole = cells.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("l").eqNullSafe(F.col("r")), F.col("n")).otherwise(0)).alias("same"))
     a = cells.groupBy(*keys, F.col("l").alias("x")).agg(F.sum("n").alias("a"))
@@ -86,6 +87,6 @@ def cohen_kappa(pairs: DataFrame, keys: list[str], left: str, right: str) -> Dat
     for k in keys:
         on = on & F.col(f"a1.{k}").eqNullSafe(F.col(f"b1.{k}"))
     chance = a.alias("a1").join(b.alias("b1"), on).groupBy(*[F.col(f"a1.{k}").alias(k) for k in keys]).agg(F.sum(F.col("a") * F.col("b")).alias("ab"))
-    x = whole.join(chance, keys, "left") if keys else whole.join(chance, how="cross")
+    x = whole.join(chance, keys, "left")
     x = x.withColumn("observed", F.col("same") / F.col("n")).withColumn("expected", F.coalesce(F.col("ab"), F.lit(0)) / (F.col("n") * F.col("n")))
     return x.select(*keys, "n", "observed", "expected", F.when(F.abs(1 - F.col("expected")) <= 1e-9, F.when(F.col("observed") >= 1, 1.0).otherwise(0.0)).otherwise((F.col("observed") - F.col("expected")) / (1 - F.col("expected"))).alias("kappa"))
