@@ -8,6 +8,9 @@ import wave
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+FACTS = T.StructType([T.StructField("seconds", T.DoubleType()), T.StructField("rate", T.IntegerType()), T.StructField("channels", T.IntegerType()), T.StructField("rms", T.DoubleType()), T.StructField("peak", T.DoubleType())])
 
 
 def decode(data: bytes) -> tuple[np.ndarray, int]:
@@ -29,7 +32,7 @@ def encode(x: np.ndarray, rate: int) -> bytes:
     return out.getvalue()
 
 
-@F.pandas_udf("struct<seconds double, rate int, channels int, rms double, peak double>")
+@F.pandas_udf(FACTS)
 def audio_facts(content: pd.Series) -> pd.DataFrame:
     """Duration, rate, channels, RMS and peak; nulls for null and for what is no PCM WAV."""
 
@@ -49,12 +52,17 @@ def gain(source_rms, reference_rms, peak, limit: float = 0.99):
     return F.when(peak * g > limit, limit / peak).otherwise(g)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def amplified(content: pd.Series, factor: pd.Series) -> pd.Series:
+    """The clip times a factor, as 16-bit PCM; null for what is no PCM WAV."""
+
     def one(b, g):
         if b is None or g is None:
             return b
-        x, rate = decode(b)
+        try:
+            x, rate = decode(b)
+        except Exception:  # noqa: BLE001 - as above
+            return None
         return encode(x * g, rate)
 
     return pd.Series([one(b, g) for b, g in zip(content, factor, strict=True)])

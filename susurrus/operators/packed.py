@@ -34,8 +34,9 @@ def _masked(cell):
 
 def delimiter_scores(df: DataFrame, source: str, cell: str) -> DataFrame:
     """Rows (source, delimiter, cells, regular, consistent, numeric): for every candidate the cells that hold it outside
-    quotes, the share of regular pieces in them, the share of them that it cuts into the same number of pieces as all
-    strong candidates together do (so it doesn't cut through pieces), and the share of numbers or times among the pieces.
+    quotes, the share of regular pieces in them, the share of them that it cuts into several pieces or into as many
+    as all strong candidates together do, and the share of numbers or times among the pieces. Cells without a piece are
+    left out.
 
     One aggregation with a map-side combine; its result has at most one row a source and candidate.
     """
@@ -49,9 +50,10 @@ def delimiter_scores(df: DataFrame, source: str, cell: str) -> DataFrame:
     own = F.when(F.col("delimiter") == BLANK, F.col("by_blank")).otherwise(F.col("all"))
     alone = F.filter(F.transform(F.split("m", F.concat(F.lit("\\Q"), "delimiter", F.lit("\\E"))), lambda p: F.trim(p)), lambda p: p != "")
     number = lambda p: p.rlike(NUMBER) | (p == HELD)
-    share = lambda f: F.size(F.filter(own, f)) / F.greatest(F.size(own), F.lit(1))
+    share = lambda f: F.size(F.filter(own, f)) / F.nullif(F.size(own), F.lit(0))
     return (
-        rows.select("source", "delimiter", share(lambda p: number(p) | p.rlike(PHRASE)).alias("r"), share(number).alias("n"), (F.size(alone) == F.size(own)).cast("int").alias("c"))
+        rows.select("source", "delimiter", share(lambda p: number(p) | p.rlike(PHRASE)).alias("r"), share(number).alias("n"), ((F.size(alone) == F.size(own)) | (F.size(alone) > 1)).cast("int").alias("c"))
+        .where("r is not null")
         .groupBy("source", "delimiter")
         .agg(F.count("*").alias("cells"), F.avg("r").alias("regular"), F.avg("c").alias("consistent"), F.avg("n").alias("numeric"))
     )

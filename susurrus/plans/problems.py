@@ -38,8 +38,9 @@ WITH x AS (
   SELECT 'train_events' AS src, id AS video_id, CAST(round(start_sec * 1000) AS BIGINT) AS s, CAST(round(end_sec * 1000) AS BIGINT) AS e FROM train_events
   UNION ALL
   SELECT 'segment_label_parse', video_id, CAST(round(clean_start * 1000) AS BIGINT), CAST(round(clean_end * 1000) AS BIGINT) FROM segment_label_parse),
-y AS (SELECT *, max(e) OVER (PARTITION BY src, video_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM x WHERE s < e),
-z AS (SELECT *, sum(CASE WHEN prev IS NULL OR s > prev THEN 1 ELSE 0 END) OVER (PARTITION BY src, video_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS label FROM y),
+d AS (SELECT src, video_id, s, max(e) AS e FROM x WHERE s < e GROUP BY src, video_id, s),
+y AS (SELECT *, max(e) OVER (PARTITION BY src, video_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM d),
+z AS (SELECT *, sum(CASE WHEN prev IS NULL OR s > prev THEN 1 ELSE 0 END) OVER (PARTITION BY src, video_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS label FROM y),
 p AS (SELECT src, video_id, label, min(s) AS s, max(e) AS e FROM z GROUP BY ALL),
 g AS (SELECT src, video_id, lag(e) OVER (PARTITION BY src, video_id ORDER BY s) AS from_ms, s AS to_ms FROM p),
 u AS (SELECT src, video_id, 'period' AS kind, s AS from_ms, e AS to_ms FROM p UNION ALL SELECT src, video_id, 'gap', from_ms, to_ms FROM g WHERE from_ms IS NOT NULL)
