@@ -14,7 +14,7 @@ import __spark_entry__ as entry
 from susurrus.functions import text as X
 from susurrus.functions import times as T
 from susurrus.operators import audio, bank, embeddings, matching, providers, release, runlog, sampling, scoring, segmentation, timelines
-from susurrus.plans import reference
+from susurrus.plans import more, reference
 from susurrus.sources import readers, writers
 from susurrus.streaming import incremental
 
@@ -32,7 +32,7 @@ def plain(v):
     return float(v) if type(v).__name__ == "Decimal" else v
 
 
-@pytest.mark.parametrize("name", sorted(reference.ORACLES) + ["p3_found", "p3_coverage"])
+@pytest.mark.parametrize("name", sorted(reference.ORACLES | more.ORACLES) + ["p3_found", "p3_coverage"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("timeline segment_label_parse train_events train_label manual_gt_example noun_alias_v1 asmr_verb_classes_en documents eval_item part orders customer lineitem events embeddings").split():
