@@ -254,3 +254,19 @@ def p1_runs(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p1_found": p1_found, "p1_runs": p1_runs}
+
+
+# the readings of every distinct value against every alias, by brute force; the longest alias has four words
+P5_FOUND = r"""
+WITH a AS (SELECT array_to_string(regexp_extract_all(lower(alias), '[\p{L}\p{N}]+'), '') AS a, min(struct_pack(alias := alias, g := group_id)).g AS g FROM noun_alias_v1 GROUP BY 1),
+t AS (SELECT label_id, 'subject' AS field_name, subject AS v FROM train_label UNION ALL SELECT label_id, 'object', object FROM train_label),
+c AS (SELECT * FROM t WHERE v IS NOT NULL AND trim(v) <> '' AND lower(trim(v)) <> 'fail' AND v NOT IN (SELECT alias FROM noun_alias_v1)),
+d AS (SELECT DISTINCT v, list_filter(regexp_split_to_array(lower(replace(v, '_', ' ')), '[,;()\[\]{}]|\s[-–—]+\s'), lambda p: regexp_matches(p, '[\p{L}\p{N}]')) AS parts FROM c),
+p AS (SELECT v, unnest([array_to_string(parts, ' '), array_to_string(list_reverse(parts), ' '), coalesce(parts[1], '')]) AS phrase FROM d),
+w AS (SELECT v, regexp_extract_all(phrase, '[\p{L}\p{N}]+') AS ws FROM p),
+s AS (SELECT DISTINCT v, array_to_string(ws[k:], '') AS r FROM (SELECT v, ws, unnest(range(greatest(1, len(ws) - 5), len(ws) + 1)) AS k FROM w)),
+m AS (SELECT v, a.a, a.g, levenshtein(r, a.a) AS e FROM s JOIN a ON abs(length(r) - length(a.a)) <= 3),
+b AS (SELECT v, g FROM m WHERE e <= CASE WHEN length(a) <= 5 THEN 1 WHEN length(a) <= 9 THEN 2 ELSE 3 END QUALIFY row_number() OVER (PARTITION BY v ORDER BY e / length(a), -length(a), a) = 1)
+SELECT label_id, field_name, coalesce(g, 'unmatched') AS group_id FROM c LEFT JOIN b USING (v)
+"""
+ORACLES |= {"p5_found": P5_FOUND}
