@@ -70,5 +70,23 @@ def p7_delimiters(spark: SparkSession, d: str) -> DataFrame:
     return delimiter_scores(_cells(spark, d), "source", "cell")
 
 
+def _p7_values(cell: str, separators: str) -> str:
+    """SQL: the values of a cell split at any of `separators` outside quotes."""
+    blanks = "' ' || chr(9) || chr(10)"
+    core = rf"regexp_replace(trim({cell}, {blanks}), '^\[([^\[\]]*)\]$', '\1')"
+    pieces = rf"""regexp_extract_all({core}, '\s*("[^"]*(?:""[^"]*)*"|''[^'']*(?:''''[^'']*)*''|[^{separators}]*)\s*(?:[{separators}]|$)', 1)"""
+    bare = """CASE WHEN p LIKE '"%"' AND length(p) > 1 THEN replace(p[2:-2], '""', '"') WHEN p LIKE '''%''' AND length(p) > 1 THEN replace(p[2:-2], '''''', '''') ELSE p END"""
+    return f"list_filter(list_transform(list_transform({pieces}, lambda q: trim(q, {blanks})), lambda p: {bare}), lambda p: trim(p) <> '')"
+
+
+#: Delimiters stated for the SQL side; the query infers them.
+P7_FOUND = rf"""
+WITH t AS (SELECT 'timeline' AS table_name, CAST(line_id AS VARCHAR) AS row_key, 'clean_start' AS field_name, {_p7_values("clean_start", r";；,、|/\t\n ")} AS v FROM timeline
+  UNION ALL SELECT 'timeline', CAST(line_id AS VARCHAR), 'clean_end', {_p7_values("clean_end", r";；,、|/\t\n ")} FROM timeline
+  UNION ALL SELECT 'asmr_verb_classes_en', verb_class, 'verbs', {_p7_values("verbs", r";；,、|/\t\n")} FROM asmr_verb_classes_en)
+SELECT table_name, row_key, field_name, CAST(unnest(range(len(v))) AS INT) AS pos, unnest(v) AS val FROM t WHERE len(v) >= 2
+"""
+
+
 QUERIES = {"p3_found": p3_found, "p3_coverage": p3_coverage, "p7_found": p7_found, "p7_delimiters": p7_delimiters}
-ORACLES = {"p3_found": P3_FOUND, "p3_coverage": P3_COVERAGE}
+ORACLES = {"p3_found": P3_FOUND, "p3_coverage": P3_COVERAGE, "p7_found": P7_FOUND}
