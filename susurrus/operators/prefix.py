@@ -36,3 +36,20 @@ def running_sum(df: DataFrame, keys: list[str], bucket: str, order: list[str], v
         .withColumn(out, F.sum(F.coalesce(F.col(value), F.lit(0))).over(within) + F.col("__before"))
         .drop("__before")
     )
+
+
+def neighbour(df: DataFrame, keys: list[str], bucket: str, order: list[str], value: str, out: str, ahead: bool = True) -> DataFrame:
+    """Adds `out`: `value` of the next row (`ahead`) or the previous row of the same `keys`; null at the end.
+
+    As `running_sum`, it looks within buckets of the order and takes one edge row a bucket across them, so a key of any
+    size is spread over its buckets. `bucket` must not decrease along `order`.
+    """
+    place = F.struct(*order)
+    within = Window.partitionBy(*keys, bucket).orderBy(*order)
+    move = F.lead if ahead else F.lag
+    pick = F.min if ahead else F.max
+    edges = df.groupBy(*keys, bucket).agg(pick(F.struct(place.alias("p"), F.col(value).alias("v"))).alias("__edge"))
+    edges = edges.withColumn("__over", move(F.col("__edge.v")).over(Window.partitionBy(*keys).orderBy(bucket))).drop("__edge")
+    x = df.alias("l").join(edges.alias("r"), same("l", "r", [*keys, bucket])).select("l.*", "r.__over")
+    inside = move(F.struct(F.col(value).alias("v"))).over(within)
+    return x.withColumn("__in", inside).withColumn(out, F.when(F.col("__in").isNull(), F.col("__over")).otherwise(F.col("__in.v"))).drop("__in", "__over")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import seconds_of, timeline_line
+from .prefix import neighbour, same
 
 
 def first_by(df: DataFrame, keys: list[str], order: list, keep: int = 1) -> DataFrame:
@@ -23,23 +24,24 @@ def parse_description(df: DataFrame, video: str, text: str) -> DataFrame:
     return first_by(rows, [video, "seconds"], ["pos"]).select(video, "pos", "time_str", "seconds", "title")
 
 
-def normalize(df: DataFrame, video: str, pos: str, mark: str, seconds: str, duration: str) -> DataFrame:
+def normalize(df: DataFrame, video: str, pos: str, mark: str, seconds: str, duration: str, bucket_seconds: int = 3_600) -> DataFrame:
     """Adds `second` (from the mark, else the stored seconds), `corrected`, and `start`, `end`: rows of a video in order of
     (second, pos), each ending where the next begins, the last at the greatest `duration` of the video, at least its start.
 
-    Rows without any second are left out; a null video is a video of its own.
+    Next starts are looked up within hours and carried over their edges, so no task sorts a whole video. Rows without any
+    second are left out; a null video is a video of its own.
     """
     by_mark = seconds_of(F.col(mark))
     rows = df.withColumn("second", F.coalesce(by_mark, F.col(seconds).try_cast("int"))).where("second is not null")
-    rows = rows.withColumn("corrected", F.coalesce(by_mark != F.col(seconds), F.lit(False)))
-    w = Window.partitionBy(video).orderBy("second", pos)
-    whole = F.max(F.col(duration).cast("double")).over(Window.partitionBy(video))
-    start = F.col("second").cast("double")
-    return rows.withColumn("start", start).withColumn("end", F.coalesce(F.lead(start).over(w), F.greatest(whole, start), start))
+    rows = rows.withColumn("corrected", F.coalesce(by_mark != F.col(seconds), F.lit(False))).withColumn("start", F.col("second").cast("double"))
+    ends = rows.groupBy(video).agg(F.max(F.col(duration).cast("double")).alias("__whole"))
+    x = neighbour(rows.withColumn("__b", F.floor(F.col("second") / bucket_seconds)), [video], "__b", ["second", pos], "start", "__next")
+    x = x.alias("l").join(ends.alias("r"), same("l", "r", [video])).select("l.*", "r.__whole")
+    return x.withColumn("end", F.coalesce("__next", F.greatest("__whole", "start"), "start")).drop("__b", "__next", "__whole")
 
 
-def gaps(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+def gaps(df: DataFrame, keys: list[str], start: str, end: str, bucket: float = 3_600.0) -> DataFrame:
     """Per key the number, least, greatest and mean of start minus previous end, rows in order of (start, end)."""
-    w = Window.partitionBy(*keys).orderBy(start, end)
-    x = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("gap", F.col(start) - F.lag(end).over(w)).where("gap is not null")
+    x = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("__b", F.floor(F.col(start) / bucket))
+    x = neighbour(x, keys, "__b", [start, end], end, "__prev", ahead=False).withColumn("gap", F.col(start) - F.col("__prev")).where("gap is not null")
     return x.groupBy(*keys).agg(F.count("*").alias("gaps"), F.min("gap").alias("least"), F.max("gap").alias("greatest"), F.avg("gap").alias("mean"))
