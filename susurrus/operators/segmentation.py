@@ -44,30 +44,86 @@ def cut_segments(df: DataFrame, key: str, centers: str, bounds: str, start: str,
     return x.withColumn("kept", F.col("end") - F.col("start") >= least)
 
 
+def _pairs_upto(x: np.ndarray, w: np.ndarray, t: float) -> int:
+    """Pairs at most `t` apart of the ascending distinct values `x` that occur `w` times, without pairs of equal values."""
+    at, last = np.searchsorted(x, x + t, "right") - 1, len(x) - 1
+    while (up := (at < last) & (x[np.minimum(at + 1, last)] - x <= t)).any():
+        at += up
+    while (down := x[at] - x > t).any():
+        at -= down
+    upto = w.cumsum()
+    return int((w * (upto[at] - upto)).sum())
+
+
+def _kth_pair(x: np.ndarray, w: np.ndarray, k: int) -> float:
+    """The k-th smallest distance (from 1) of pairs of distinct values, by bisection over the bits of the number."""
+    lo, hi = 0, int(np.float64(x[-1] - x[0]).view(np.int64))
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if _pairs_upto(x, w, np.int64(mid).view(np.float64)) >= k else (mid + 1, hi)
+    return float(np.int64(lo).view(np.float64))
+
+
+def _kth_square(x: np.ndarray, k: int, bits: int = 21, cells: int = 4_000_000) -> float:
+    """The k-th smallest (from 1) positive squared distance of rows, by three histograms of the bits of the number."""
+    rows, head = max(1, cells // max(1, x.size)), 0
+    for shift in (2 * bits, bits, 0):
+        n = np.zeros(1 << bits, np.int64)
+        for lo in range(0, len(x), rows):
+            sq = ((x[lo : lo + rows, None, :] - x[None, lo:, :]) ** 2).sum(2)
+            v = sq[np.triu(np.ones(sq.shape, bool), 1) & (sq > 0)].view(np.int64)
+            v = v[v >> (shift + bits) == head] >> shift
+            n += np.bincount(v & ((1 << bits) - 1), minlength=1 << bits)
+        upto = n.cumsum()
+        at = int(np.searchsorted(upto, k))
+        k -= int(upto[at - 1]) if at else 0
+        head = head << bits | at
+    return float(np.int64(head).view(np.float64))
+
+
+def median_square(x: np.ndarray) -> float:
+    """Median of the positive squared distances of all pairs of rows; 0 if there are none. Exact, in memory linear in the
+    rows; with one column in n log n time, else quadratic."""
+    values, w = np.unique(x, axis=0, return_counts=True)
+    pairs = (len(x) ** 2 - int((w.astype(np.int64) ** 2).sum())) // 2
+    if not pairs:
+        return 0.0
+    if x.shape[1] == 1:
+        pick = lambda k: _kth_pair(values[:, 0], w.astype(np.int64), k) ** 2
+    else:
+        pick = lambda k: _kth_square(x, k)
+    return pick(pairs // 2 + 1) if pairs % 2 else (pick(pairs // 2) + pick(pairs // 2 + 1)) / 2
+
+
 def pelt_rbf(x: np.ndarray, penalty: float, least: int = 2) -> list[int]:
     """Ends of the segments of rows `x` that minimise the sum of kernel costs (rbf, median bandwidth) plus `penalty` for
-    each, with pruning. Cost of rows a..b: length minus the sum of its kernel block over its length, from prefix sums."""
+    each, with pruning. Cost of rows a..b: length minus the sum of its kernel block over its length. The block sums of the
+    open starts grow by a kernel column a row, so memory is linear in the rows, and a row costs as much time as there are
+    rows since the oldest open start."""
     n = len(x)
     if n < 2 * least:
         return [n]
-    sq = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
-    upper = sq[np.triu_indices(n, 1)]
-    gamma = 1 / np.median(upper[upper > 0]) if (upper > 0).any() else 1.0
-    block = np.zeros((n + 1, n + 1))
-    block[1:, 1:] = np.exp(-gamma * sq).cumsum(0).cumsum(1)
+    median = median_square(x)
+    gamma = 1 / median if median else 1.0
     best = np.full(n + 1, np.inf)
     best[0] = -penalty
     prev = np.zeros(n + 1, int)
-    open_ = np.array([0])
-    for b in range(least, n + 1):
-        use = open_[open_ <= b - least]
-        size = b - use
-        cost = size - (block[b, b] - block[use, b] - block[b, use] + block[use, use]) / size
-        total = best[use] + cost + penalty
+    open_, block = np.array([0]), np.zeros(1)
+    for b in range(1, n + 1):
+        lo = open_[0]
+        column = np.exp(-gamma * ((x[lo:b] - x[b - 1]) ** 2).sum(1))
+        block = block + 2 * column[::-1].cumsum()[::-1][open_ - lo] - 1
+        if b < least:
+            continue
+        use = open_ <= b - least
+        size = b - open_[use]
+        cost = size - block[use] / size
+        total = best[open_[use]] + cost + penalty
         k = int(total.argmin())
-        best[b], prev[b] = total[k], use[k]
-        late = open_[open_ > b - least]
-        open_ = np.concatenate([use[best[use] + cost <= best[b]], late, [b]])
+        best[b], prev[b] = total[k], open_[use][k]
+        keep = ~use
+        keep[use] = best[open_[use]] + cost <= best[b]
+        open_, block = np.append(open_[keep], b), np.append(block[keep], 0.0)
     out, b = [], n
     while b > 0:
         out.append(int(b))
@@ -75,25 +131,22 @@ def pelt_rbf(x: np.ndarray, penalty: float, least: int = 2) -> list[int]:
     return out[::-1]
 
 
-def change_points(df: DataFrame, key: str, order: str, features: list[str], penalty: float = 3.0, least: int = 5, most_rows: int = 2_000) -> DataFrame:
+def change_points(df: DataFrame, key: str, order: str, features: list[str], penalty: float = 3.0, least: int = 5) -> DataFrame:
     """Rows (key, segment, first, last): change points of the standardised features of each key.
 
-    The kernel matrix of a key is quadratic in its rows, so a key is cut into blocks of `most_rows` in order and each
-    block is searched on its own (a block boundary is a change point): memory and time per task are bounded, and a key
-    with a third of all rows is spread over its blocks. Rows with null features are left out.
+    A key is standardised and searched as a whole in one task, whatever its rows: memory is linear in them, time up to
+    quadratic where nothing changes. Rows with null features are left out.
     """
     n = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
-    x = df.where(" and ".join(f"{f} is not null" for f in features)).select(key, *features, n.alias("row")).withColumn("block", F.floor(F.col("row") / most_rows))
+    x = df.where(" and ".join(f"{f} is not null" for f in features)).select(key, *features, n.alias("row"))
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row")
         v = pdf[features].to_numpy(float)
         med, iqr = np.median(v, 0), np.subtract(*np.percentile(v, [75, 25], 0))
         ends = pelt_rbf((v - med) / (iqr + 1e-8), penalty, least)
-        first = [0, *ends[:-1]]
         row = pdf["row"].to_numpy()
-        return pd.DataFrame({key: pdf[key].iloc[0], "first": row[first], "last": row[[e - 1 for e in ends]]})
+        return pd.DataFrame({key: pdf[key].iloc[0], "segment": range(len(ends)), "first": row[[0, *ends[:-1]]], "last": row[[e - 1 for e in ends]]})
 
     kind = dict(df.dtypes)[key]
-    found = x.groupBy(key, "block").applyInPandas(find, f"{key} {kind}, first int, last int")
-    return found.withColumn("segment", F.row_number().over(Window.partitionBy(key).orderBy("first")) - 1).select(key, "segment", "first", "last")
+    return x.groupBy(key).applyInPandas(find, f"{key} {kind}, segment int, first int, last int")

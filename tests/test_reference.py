@@ -173,6 +173,23 @@ def test_segmentation(spark):
     assert segmentation.pelt_rbf(np.zeros((3, 1)), 3.0, 5) == [3]
 
 
+def test_change_points_see_a_whole_key(spark):
+    rng = np.random.default_rng(5)
+    at = np.arange(4_003)
+    hot = np.where((at >= 1_000) & (at < 3_000), 4.0, 0.0) + rng.normal(0, 0.2, len(at))
+    rows = [("hot", int(i), float(v)) for i, v in zip(at, hot, strict=True)] + [("cold", i, float(i >= 10)) for i in range(20)] + [("cold", 99, None)]
+    got = segmentation.change_points(spark.createDataFrame(rows, "k string, i int, v double").orderBy("v"), "k", "i", ["v"]).orderBy("k", "segment").collect()
+    assert [tuple(r) for r in got] == [("cold", 0, 0, 9), ("cold", 1, 10, 19), ("hot", 0, 0, 999), ("hot", 1, 1_000, 2_999), ("hot", 2, 3_000, 4_002)]
+
+
+def test_median_of_squared_distances():
+    rng = np.random.default_rng(6)
+    for n, d in [(2, 1), (61, 1), (62, 1), (61, 2), (62, 3)]:
+        for x in (rng.normal(0, 1, (n, d)), rng.integers(0, 4, (n, d)).astype(float)):
+            sq = ((x[:, None] - x[None]) ** 2).sum(2)[np.triu_indices(n, 1)]
+            assert segmentation.median_square(x) == (np.median(sq[sq > 0]) if (sq > 0).any() else 0)
+
+
 def test_frechet_and_cosine(spark):
     rng = np.random.default_rng(1)
     a, b = rng.normal(0, 1, (200, 4)), rng.normal(1, 2, (200, 4))
