@@ -136,11 +136,13 @@ def draw(units: DataFrame, targets: DataFrame, seed: int = 0, block_rows: int =
 
 
 def report(units: DataFrame, targets: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Per target: wanted rows, available, drawn, the share reached, and whether the target could be met."""
+    """Per target: available, drawn, the share reached, whether enough is available (`met`), and whether the wanted rows
+    were drawn up to the one unit that rounding may take (`reached`; floors of other categories may leave fewer)."""
     got = drawn.groupBy("scope", "category").agg(F.count("*").alias("drawn"))
     want = F.greatest(F.coalesce("min_rows", F.lit(0)).cast("double"), F.coalesce(F.col("target_share") * F.col("sample_rows"), F.lit(0.0)))
     x = categories(units, targets).join(got, ["scope", "category"], "left").fillna(0, ["drawn"])
     whole = got.groupBy("scope").agg(F.sum("drawn").alias("whole"))
     return x.join(F.broadcast(whole), "scope", "left").select(
-        "scope", "category", "target_share", "min_rows", "sample_rows", "available", "drawn", (F.col("drawn") / F.col("whole")).alias("share"), (F.col("available") >= want).alias("met")
+        "scope", "category", "target_share", "min_rows", "sample_rows", "available", "drawn", (F.col("drawn") / F.col("whole")).alias("share"), (F.col("available") >= want).alias("met"),
+        (F.col("drawn") > want - 1).alias("reached"),
     )

@@ -92,6 +92,14 @@ def test_sample(spark):
     assert sampling.draw(units.limit(0), t).count() == 0
 
 
+def test_report_tells_drawn_from_available(spark):
+    t = spark.createDataFrame([("s", "a", 0.5, 2, 100), ("s", "b", 0.5, 2, 100), ("s", "floor", 0.0, 40, 100), ("s", "few", 0.0, 9, 100)], TARGETS)
+    u = [("s", c, f"{c}{i}") for c, n in (("a", 500), ("b", 500), ("floor", 60), ("few", 4)) for i in range(n)]
+    units = spark.createDataFrame(u, "scope string, category string, unit string")
+    rep = {r.category: (r.met, r.reached) for r in sampling.report(units, t, sampling.draw(units, t)).collect()}
+    assert rep == {"a": (True, False), "b": (True, False), "floor": (True, True), "few": (False, False)}
+
+
 def test_pivotal_keeps_sums_and_probabilities():
     rng = np.random.default_rng(0)
     p = rng.uniform(0, 1, 40)
