@@ -62,8 +62,9 @@ def mix(docs: DataFrame, doc: str, source: str, text: str, targets: DataFrame, s
 
     Each source's documents are shuffled by hash; the virtual finish time of a copy is the running size of its source at
     its end, repetitions included, divided by the source's target share. Copies are served in the order of finish times
-    until the budget, `budget_factor` times the size of all documents, is reached. A source whose last copy finishes
-    before the virtual time `budget` has run dry: it falls short, and the others go on in proportion. Running sizes come
+    until the budget, `budget_factor` times the size of all documents, is reached. A source whose last copy in the queue
+    finishes before the virtual time `budget` has run dry: it falls short, and the others go on in proportion. The time of
+    the last copy must equal the closed form from the totals, else reading the report is an error. Running sizes come
     from bucketed sums, so neither a large source nor the whole mixture is sorted in one task; the driver sees one row
     a target.
 
@@ -88,7 +89,8 @@ def mix(docs: DataFrame, doc: str, source: str, text: str, targets: DataFrame, s
 
     bits = max(2, min(20, math.ceil(math.log2(max(1, all_rows) / 100_000 + 1)) + 4))
     facts = F.broadcast(spark.createDataFrame([(g["source"], g["share"], g["repeats"], float(g["total"])) for g in goals if g["share"] > 0 and g["total"]], "source string, share double, repeats int, total double"))
-    queue = running_sum(sized.withColumn("b", F.shiftright("h", 64 - bits)), ["source"], "b", ["h", "doc"], "size", "upto").join(facts, "source")
+    queue = cut(running_sum(sized.withColumn("b", F.shiftright("h", 64 - bits)), ["source"], "b", ["h", "doc"], "size", "upto").join(facts, "source"))
+    dry = queue.groupBy("source").agg(F.max(((F.col("repeats") - 1) * F.col("total") + F.col("upto")) / F.col("share")).alias("last_finish"))
     needed = F.least(F.col("repeats"), F.floor((late * F.col("share") - F.col("upto")) / F.col("total")) + 1)
     copies = (
         queue.withColumn("needed", needed).where("needed >= 1")
@@ -102,8 +104,12 @@ def mix(docs: DataFrame, doc: str, source: str, text: str, targets: DataFrame, s
     whole = mixture.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     ends = [(g["source"], g["share"], g["repeats"], g["total"], g["share"] * budget, g["repeats"] * g["total"] / g["share"] if g["share"] > 0 else math.inf) for g in goals]
     report = (
-        spark.createDataFrame(ends, "source string, target_share double, max_repeats int, available long, wanted double, last_finish double")
-        .join(actual, "source", "left").fillna(0, ["copies", "size"])
+        spark.createDataFrame(ends, "source string, target_share double, max_repeats int, available long, wanted double, closed double")
+        .join(dry, "source", "left").join(actual, "source", "left").fillna(0, ["copies", "size"])
+        # what isn't in the queue has no copy to finish: a share without size is dry at once, no share never
+        .withColumn("last_finish", F.coalesce("last_finish", F.when(F.col("target_share") > 0, 0.0).otherwise(math.inf)))
+        .withColumn("last_finish", F.when((F.col("last_finish") == F.col("closed")) | (F.abs(F.col("last_finish") - F.col("closed")) <= 1e-9 * F.col("closed")), F.col("last_finish")).otherwise(F.raise_error(F.concat(F.lit("the queue doesn't end with the total of "), "source"))))
         .withColumn("actual_share", F.col("size") / F.lit(float(max(whole, 1)))).withColumn("short", F.col("last_finish") < budget)
+        .select("source", "target_share", "max_repeats", "available", "wanted", "last_finish", "copies", "size", "actual_share", "short")
     )
     return mixture, report

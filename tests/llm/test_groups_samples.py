@@ -253,6 +253,17 @@ def test_mixing(spark):
     assert empty[0].count() == 0
 
 
+def test_short_comes_from_the_queue(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, s, "w w") for i, s in enumerate("aaaaaaaabb")], "doc_id long, source string, text string")
+    t = spark.createDataFrame([("a", 0.5, 1, 1.0), ("b", 0.5, 2, 1.0), ("absent", 0.1, 2, 1.0), ("off", 0.0, 1, 1.0)], "source string, target_share double, max_repeats int, budget_factor double")
+    rep = {r.source: (r.last_finish, r.short) for r in mixing.mix(docs, "doc_id", "source", "text", t, mixing.word_counts)[1].collect()}
+    assert rep == {"a": (32.0, False), "b": (16.0, True), "absent": (0.0, True), "off": (float("inf"), False)}
+    real = mixing.running_sum
+    monkeypatch.setattr(mixing, "running_sum", lambda df, keys, *a: real(df, keys, *a).where("source <> 'b' or not (size = upto)").withColumn("upto", F.col("upto") - F.when(F.col("source") == "b", 1).otherwise(0)) if keys else real(df, keys, *a))
+    with pytest.raises(Exception, match="queue doesn't end"):  # a queue that loses documents is seen in the report
+        mixing.mix(docs, "doc_id", "source", "text", t, mixing.word_counts)[1].collect()
+
+
 def test_token_counts(spark):
     f = mixing.token_counts()
     got = [r.n for r in spark.createDataFrame([("hello world",), (None,), ("",), ("a" * 5000,)], "t string").select(f("t").alias("n")).collect()]
