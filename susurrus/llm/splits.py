@@ -55,29 +55,36 @@ def iterative_stratification(vectors: list[tuple], targets: dict[str, float], to
     the split that needs that label most (ties: that needs most rows). Changes `need`; returns key -> split."""
     placed: dict = {}
     left = dict(vectors)
+    outstanding: dict[str, float] = {}
+    holders: dict[str, set] = {}
+    for key, v in left.items():
+        for k, n in v.items():
+            outstanding[k] = outstanding.get(k, 0) + n
+            holders.setdefault(k, set()).add(key)
     while left:
-        outstanding: dict[str, float] = {}
-        for v in left.values():
-            for k, n in v.items():
-                outstanding[k] = outstanding.get(k, 0) + n
         label = min(outstanding, key=lambda k: (outstanding[k], k))
-        for key in sorted((k for k, v in left.items() if label in v), key=lambda k: (-left[k][label], str(k))):
+        for key in sorted(holders[label], key=lambda k: (-left[k][label], str(k))):
             split = max(targets, key=lambda s: (need[s].get(label, 0.0), sum(need[s].values()), s))
             for k, n in left[key].items():
                 need[split][k] = need[split].get(k, 0.0) - n
+                outstanding[k] -= n
+                holders[k].discard(key)
+                if not holders[k]:
+                    del outstanding[k]
             placed[key] = split
             del left[key]
     return placed
 
 
-def grouped_split(rows: DataFrame, group: str, label: str, targets: dict[str, float], large_share: float = 1 / 2000, max_labels: int = 256, buckets: int = 1024) -> DataFrame:
+def grouped_split(rows: DataFrame, group: str, label: str, targets: dict[str, float], large_share: float = 1 / 2000, buckets: int = 1024) -> DataFrame:
     """Rows (group, split): one split for every group, so that the shares of each label come close to `targets`.
 
     Groups are components; their label vectors are aggregated. A group with at least `large_share` of all rows is placed
     on its own by iterative stratification (there are at most 1 / large_share of those, so they fit the driver). The
     others, each less than `large_share`, form one class per rarest label they hold; classes are placed rarest first, a
     class being dealt to the splits in proportion to what they still need of its label, by the running sum of the sizes
-    of its groups in hash order. The driver sees label counts only (`max_labels` labels; rarer ones share one label).
+    of its groups in hash order. Every label is kept: the driver holds one number a label and one a pair of
+    labels that occur in one group of a class, so labels must be values of a vocabulary, not free text.
 
     Null groups are left out; a null label is a label of its own; an empty table gives no rows; splits without a positive
     target get nothing; if no target is positive, all is an error.
@@ -88,9 +95,7 @@ def grouped_split(rows: DataFrame, group: str, label: str, targets: dict[str, fl
     scale = sum(targets.values())
     targets = {k: v / scale for k, v in sorted(targets.items())}
     counts = rows.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("g"), F.coalesce(F.col(label).cast("string"), F.lit("\0none")).alias("l")).agg(F.count("*").alias("n"))
-    top = counts.groupBy("l").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "l").limit(max_labels)
-    rank = F.broadcast(top.select("l", F.lit(True).alias("known")))
-    counts = cut(counts.join(rank, "l", "left").groupBy("g", F.when(F.col("known"), F.col("l")).otherwise(F.lit("\0rare")).alias("l")).agg(F.sum("n").alias("n")))
+    counts = cut(counts)
     total = {x["l"]: x["n"] for x in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}
     size = sum(total.values())
     if not size:

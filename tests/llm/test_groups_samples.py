@@ -76,6 +76,13 @@ def test_grouped_split(spark):
         splits.grouped_split(df, "grp", "lab", {"train": 0.0})
 
 
+def test_split_keeps_rare_labels_apart(spark):
+    rows = [(f"{lab}-{i}", f"v{lab:03d}") for lab in range(300) for i in range(30 if lab < 256 else 20)]
+    got = {r.grp: r.split for r in splits.grouped_split(spark.createDataFrame(rows, "grp string, lab string"), "grp", "lab", {"train": 0.8, "test": 0.2}, large_share=1.0).collect()}
+    test = collections.Counter(lab for g, lab in rows if got[g] == "test")
+    assert [test[f"v{lab:03d}"] for lab in range(256, 300)] == [4] * 44
+
+
 TARGETS = "scope string, category string, target_share double, min_rows int, sample_rows long"
 
 
