@@ -151,7 +151,8 @@ def detail(x: Column, limit: int = 500) -> Column:
 
 
 def failure_reason(x: Column) -> Column:
-    return let(F.lower(detail(x)), lambda t: first_hit(t, FAILURES, "unknown"))
+    """By the whole text, also behind what `detail` keeps."""
+    return let(F.lower(squeezed(F.coalesce(x, F.lit("")))), lambda t: first_hit(t, FAILURES, "unknown"))
 
 
 def audio_id(path: Column) -> Column:

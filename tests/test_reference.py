@@ -208,6 +208,11 @@ def test_run_log(spark):
     assert len(kept) == 1 and kept[0].dropped == 1
 
 
+def test_reason_behind_the_kept_detail(spark):
+    x = runlog.with_reason(spark.createDataFrame([("s", "failed", None, "x " * 400 + "HTTP 429")], "stage string, status string, reason string, text string"), "status", "reason", "text").first()
+    assert x.reason == "rate_limit" and len(x.detail) == 500
+
+
 def test_provider_is_called_once_per_text(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "t string")
     got = sorted((r.t or "", r.o) for r in providers.apply_distinct(df, "t", F.col("t") == "a", providers.stub("x:"), "o").collect())
