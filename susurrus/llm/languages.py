@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import cut
+
 #: The languages told apart.
 LANGUAGES = ["en", "es", "pt", "de", "fr", "it", "ru", "ja", "ko", "zh"]
 #: Labelled texts used to fit, per declared language, by hash order.
@@ -278,14 +280,15 @@ def primary(lang):
 
 
 def sample(rows: DataFrame, text: str, lang: str, per_language: int = FIT_ROWS) -> list:
-    """Up to `per_language` labelled texts of each language by hash order, after thinning large languages by hash."""
+    """Up to `per_language` distinct labelled texts of each language by hash order, after thinning large languages by hash."""
     x = rows.select(F.col(text).alias("text"), primary(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isin(LANGUAGES) & (F.length("text") <= 2_000))
-    n = {r["lang"]: r["count"] for r in x.groupBy("lang").count().collect()}
+    n = {r["lang"]: r["count"] for r in x.distinct().groupBy("lang").count().collect()}
     h = F.xxhash64("text", F.lit(1))
     chance = F.create_map(*[F.lit(v) for k, m in n.items() for v in (k, min(1.0, 2 * per_language / m))]) if n else F.lit(None)
     if not n:
         return []
-    thin = x.withColumn("h", h).where(F.pmod(F.col("h"), F.lit(1_000_003)) < chance[F.col("lang")] * 1_000_003)
+    # copies of a text share their hash, so thinning before the copies go keeps the same texts
+    thin = cut(x.withColumn("h", h).where(F.pmod(F.col("h"), F.lit(1_000_003)) < chance[F.col("lang")] * 1_000_003).distinct())
     parts = [thin.where(F.col("lang") == k).orderBy("h", "text").limit(per_language) for k in sorted(n)]
     out = parts[0]
     for p in parts[1:]:
@@ -297,7 +300,7 @@ def language_runs(rows: DataFrame, key: str, text: str, lang: str, fit_rows: int
     """Rows (key, declared, run_no, lang, first_word, words, confidence, runs): one a run of one language of each text.
 
     Per language, variable-order context trees over bytes, with escapes by the number of kinds of bytes seen, are fitted
-    on at most `fit_rows` labelled texts per declared language (relabelled first, since labels may be wrong and texts
+    on at most `fit_rows` distinct labelled texts per declared language (relabelled first, since labels may be wrong and texts
     mixed) and then frozen. Code lengths of every byte in every language are exact; words take the cheapest languages
     under a price for changes, less at separators. All texts are read whole, whatever the sample.
 

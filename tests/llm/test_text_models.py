@@ -144,3 +144,10 @@ def test_problem_queries_have_the_given_columns(spark):
     for name, cols in want.items():
         df = entry.queries()[name](spark, DATA)
         assert df.columns == cols and df.count() >= 0
+
+
+def test_language_sample_takes_distinct_titles(spark):
+    rows = [(f"title number {i}", "en") for i in range(100) for _ in range(100)] + [("der Titel", "de")] * 500 + [(None, "en"), ("untold", None)]
+    got = languages.sample(spark.createDataFrame(rows, "t string, l string"), "t", "l", 50)
+    en = [r["text"] for r in got if r["lang"] == "en"]
+    assert len(en) == len(set(en)) == 50 and [r["text"] for r in got if r["lang"] == "de"] == ["der Titel"]
