@@ -151,3 +151,12 @@ def test_language_sample_takes_distinct_titles(spark):
     got = languages.sample(spark.createDataFrame(rows, "t string, l string"), "t", "l", 50)
     en = [r["text"] for r in got if r["lang"] == "en"]
     assert len(en) == len(set(en)) == 50 and [r["text"] for r in got if r["lang"] == "de"] == ["der Titel"]
+
+
+def test_areas_count_long_documents_in_full(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "Tap glass softly. " * 500), (2, "Brush hair slowly. " * 20), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, "tap"), (2, "brush")], "doc_id long, area string")
+    seen, real = [], topics.pooled_log
+    monkeypatch.setattr(topics, "pooled_log", lambda n: seen.append(n.sum()) or real(n))
+    topics.areas(docs, "doc_id", "text", labels, "area", rounds=1)
+    assert len(seen) == 1 and abs(seen[0] - 520 * 3) < 1e-2
