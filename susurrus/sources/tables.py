@@ -13,13 +13,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Temporary folders of local applications without a shared folder, and the folders that `cut` wrote, by application.
+_LOCAL: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`, or a temporary one where that is unset (tests)."""
+    """The folder all executors share: `spark.checkpoint.dir` of the session or its configuration.
+
+    Where it is unset, a local application (tests) gets a temporary folder, the same for all its sessions; on a cluster
+    that is an error, because executors on other machines would not see such a folder. The session is not changed.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='susurrus-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = f"file://{tempfile.mkdtemp(prefix='susurrus-')}"
+    return _LOCAL[app]
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -29,16 +42,28 @@ def cut(df: DataFrame) -> DataFrame:
     plan runs once and later scans keep column pruning.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(df: DataFrame) -> None:
     """Deletes the files of a `cut` that nothing reads any more."""
     spark = df.sparkSession
-    shared = shared_folder(spark).rstrip("/")
+    mine = _WRITTEN.get(spark.sparkContext.applicationId, [])
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/cut-" in folder and shared.split(":", 1)[-1].lstrip("/") in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        for path in [p for p in mine if p.rsplit("/", 1)[-1] == folder.rsplit("/", 1)[-1]]:
+            _delete(spark, path)
+            mine.remove(path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Deletes the files of every `cut` of this application: to be called when the results that read them are written."""
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
