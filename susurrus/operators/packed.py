@@ -7,12 +7,19 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 #: Candidate delimiters. The blank is judged apart, because it also stands beside the others and inside phrases.
 STRONG = [";", "；", ",", "、", "，", "|", "/", "\t", "\n"]
 BLANK = " "
+#: Types of a piece: numbers or times, also several (signs between numbers are never part of a value, as decimal commas
+#: are quoted); a phrase of up to four words, whose words may hold signs between letters ("on/off switch", "n/a"); and a
+#: quoted piece. Anything else, such as a phrase with another separator in it, is irregular.
 NUMBER = r"^[+-]?(?:\d+:)*\d+(?:\.\d+)?$"
-PHRASE = r"^[\p{L}\p{N}_'’-]+(?: [\p{L}\p{N}_'’-]+){0,3}$"
+_WORD = r"[\p{L}\p{N}_'’-]+(?:[/&.+][\p{L}\p{N}_'’-]+)*"
+PHRASE = rf"^{_WORD}(?: {_WORD}){{0,3}}$"
 HELD = "\u0001"
+NUMBERS = rf"^(?:{NUMBER[1:-1]}|{HELD})(?:[\s;；,、，|/]+(?:{NUMBER[1:-1]}|{HELD}))*[\s;；,、，|/]*$"
 
 
 def _cls(chars: list[str]) -> str:
@@ -33,47 +40,57 @@ def _masked(cell):
 
 
 def delimiter_scores(df: DataFrame, source: str, cell: str) -> DataFrame:
-    """Rows (source, delimiter, cells, regular, consistent, numeric): for every candidate the cells that hold it outside
-    quotes, the share of regular pieces in them, the share of them that it cuts into several pieces or into as many
-    as all strong candidates together do, and the share of numbers or times among the pieces. Cells without a piece are
-    left out.
+    """Rows (source, delimiter, cells, pieces, deviation, regular, numeric, consistent, score): every candidate scored alone.
+
+    For the cells that hold the candidate outside quotes, split at it and at nothing else: the mean and the deviation of
+    the number of non-empty pieces, the share of the cells all of whose pieces are of a regular type, and the share of
+    numbers and times among the pieces. The blank is scored on the cells that no strong candidate stands in. `consistent`
+    = 1 / (1 + deviation / pieces) falls with the spread of the piece counts, and is 0 where the candidate cuts no cell in
+    two; score = regular * consistent. Cells without a piece are left out.
 
     One aggregation with a map-side combine; its result has at most one row a source and candidate.
     """
-    masked = df.select(F.col(source).alias("source"), _masked(F.col(cell)).alias("m")).where(F.col("m") != "")
-    pieces = lambda chars: F.filter(F.transform(F.split("m", f"[{_cls(chars)}]"), lambda p: F.trim(p)), lambda p: p != "")
-    masked = masked.withColumn("strong", F.col("m").rlike(f"[{_cls(STRONG)}]")).withColumn("all", pieces(STRONG)).withColumn("by_blank", pieces([BLANK]))
-    rows = masked.select(
-        "source", "all", "by_blank", "m",
-        F.explode(F.array(*[F.when(F.contains(F.col("m"), F.lit(d)), F.lit(d)) for d in STRONG], F.when(~F.col("strong") & F.contains(F.col("m"), F.lit(BLANK)), F.lit(BLANK)))).alias("delimiter"),
-    ).where(F.col("delimiter").isNotNull())
-    own = F.when(F.col("delimiter") == BLANK, F.col("by_blank")).otherwise(F.col("all"))
-    alone = F.filter(F.transform(F.split("m", F.concat(F.lit("\\Q"), "delimiter", F.lit("\\E"))), lambda p: F.trim(p)), lambda p: p != "")
+    masked = df.select(F.col(source).alias("source"), _masked(F.col(cell)).alias("m"))
+    held = F.array_compact(F.array(
+        *[F.when(F.contains(F.col("m"), F.lit(d)), F.lit(d)) for d in STRONG], F.when(~F.col("m").rlike(f"[{_cls(STRONG)}]") & F.contains(F.col("m"), F.lit(BLANK)), F.lit(BLANK))
+    ))
     number = lambda p: p.rlike(NUMBER) | (p == HELD)
-    share = lambda f: F.size(F.filter(own, f)) / F.nullif(F.size(own), F.lit(0))
-    return (
-        rows.select("source", "delimiter", share(lambda p: number(p) | p.rlike(PHRASE)).alias("r"), share(number).alias("n"), ((F.size(alone) == F.size(own)) | (F.size(alone) > 1)).cast("int").alias("c"))
-        .where("r is not null")
+    own = F.filter(F.transform(F.split("m", F.concat(F.lit("\\Q"), "delimiter", F.lit("\\E"))), lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", "")), lambda p: p != "")
+    kinds = let(own, lambda ps: F.struct(F.size(ps).alias("n"), F.forall(ps, lambda p: p.rlike(NUMBERS) | p.rlike(PHRASE)).cast("int").alias("regular"), F.size(F.filter(ps, number)).alias("numeric")))
+    sums = (
+        masked.select("source", "m", F.explode(held).alias("delimiter")).select("source", "delimiter", kinds.alias("k")).select("source", "delimiter", "k.*").where("n > 0")
         .groupBy("source", "delimiter")
-        .agg(F.count("*").alias("cells"), F.avg("r").alias("regular"), F.avg("c").alias("consistent"), F.avg("n").alias("numeric"))
+        .agg(F.count("*").alias("cells"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.max("n").alias("most"), F.avg("regular").alias("regular"), F.avg(F.col("numeric") / F.col("n")).alias("numeric"))
     )
+    mean = F.col("n") / F.col("cells")
+    deviation = F.sqrt(F.greatest(F.lit(0.0), F.col("nn") / F.col("cells") - mean * mean))
+    x = sums.select("source", "delimiter", "cells", mean.alias("pieces"), deviation.alias("deviation"), "regular", "numeric", "most")
+    x = x.withColumn("consistent", F.when(F.col("most") < 2, F.lit(0.0)).otherwise(1 / (1 + F.col("deviation") / F.col("pieces")))).drop("most")
+    return x.withColumn("score", F.col("regular") * F.col("consistent"))
 
 
-def infer_delimiters(df: DataFrame, source: str, cell: str, least_regular: float = 0.8, least_consistent: float = 0.2) -> dict[str, list[str]]:
+def infer_delimiters(df: DataFrame, source: str, cell: str, least_regular: float = 0.4, least_of_best: float = 0.3) -> dict[str, list[str]]:
     """The delimiters of each source (the number of sources is small: one a table and field).
 
-    A strong candidate is taken if the pieces around it are regular and it cuts cells consistently. The blank is taken
-    where it alone stands between numbers or times, or between words if the source has no strong delimiter.
+    Cells of one source may be separated in several ways, so every strong candidate is taken whose own pieces are
+    regular (`least_regular`) and whose score reaches the share `least_of_best` of the best candidate's; a sign that stands
+    inside values leaves pieces with the true separator in them and fails. The blank is taken where it alone stands
+    between numbers or times, or between words if the source has no strong delimiter.
     """
     found: dict[str, list[str]] = {}
     blanks: dict[str, tuple[float, float]] = {}
+    strong: dict[str, list[tuple[str, float, float]]] = {}
     for x in delimiter_scores(df, source, cell).collect():
         if x["delimiter"] == BLANK:
             blanks[x["source"]] = (x["regular"], x["numeric"])
-        elif x["regular"] >= least_regular and x["consistent"] >= least_consistent:
-            found.setdefault(x["source"], []).append(x["delimiter"])
+        else:
+            strong.setdefault(x["source"], []).append((x["delimiter"], x["regular"], x["score"]))
+    for at, scored in strong.items():
+        best = max(s for _, _, s in scored)
+        if taken := [d for d, regular, s in scored if regular >= least_regular and s > 0 and s >= least_of_best * best]:
+            found[at] = taken
     for at, (regular, numeric) in blanks.items():
-        if numeric >= least_regular or (regular >= least_regular and at not in found):
+        if numeric >= 0.8 or (regular >= 0.8 and at not in found):
             found.setdefault(at, []).append(BLANK)
     return {k: sorted(v) for k, v in found.items()}
 
@@ -106,11 +123,13 @@ def unpack(df: DataFrame, source: str, cell: str, keep: list[str], least_values:
     an accepted delimiter has one value a cell. The width of a row's array is the number of values in its own cell.
     """
     by = infer_delimiters(df, source, cell) if delimiters is None else delimiters
-    vals = split_cell(F.col(cell), [])
+    # sources with the same delimiters share a branch, so the plan grows with the sets of delimiters, not with the sources
+    sets: dict[tuple[str, ...], list[str]] = {}
     for at, ds in by.items():
-        vals = F.when(F.col(source) == at, split_cell(F.col(cell), ds)).otherwise(vals)
-    return (
-        df.where(F.col(cell).isNotNull()).select(*keep, vals.alias("__vals"))
-        .where(F.size("__vals") >= least_values)
-        .select(*keep, F.posexplode("__vals").alias("pos", "val"))
-    )
+        sets.setdefault(tuple(ds), []).append(at)
+    vals = split_cell(F.col(cell), [])
+    for ds, at in sets.items():
+        vals = F.when(F.col(source).isin(at), split_cell(F.col(cell), list(ds))).otherwise(vals)
+    # a filter above the projection would be pushed below it and split every cell twice
+    enough = let(vals, lambda v: F.when(F.size(v) >= least_values, v))
+    return df.select(*keep, F.posexplode(enough).alias("pos", "val"))

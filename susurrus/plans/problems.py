@@ -67,7 +67,8 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_delimiters(spark: SparkSession, d: str) -> DataFrame:
     """The scores from which the delimiters of each source are inferred."""
-    return delimiter_scores(_cells(spark, d), "source", "cell")
+    x = delimiter_scores(_cells(spark, d), "source", "cell")
+    return x.select("source", "delimiter", "cells", *[F.round(c, 6).alias(c) for c in ("pieces", "deviation", "regular", "numeric", "consistent", "score")])
 
 
 def _p7_values(cell: str, separators: str) -> str:
@@ -88,5 +89,22 @@ SELECT table_name, row_key, field_name, CAST(unnest(range(len(v))) AS INT) AS po
 """
 
 
+#: Each candidate scored alone, written out in SQL.
+P7_DELIMITERS = r"""
+WITH t AS (SELECT 'timeline.clean_start' AS source, clean_start AS cell FROM timeline UNION ALL SELECT 'timeline.clean_end', clean_end FROM timeline UNION ALL SELECT 'asmr_verb_classes_en.verbs', verbs FROM asmr_verb_classes_en),
+b AS (SELECT source, regexp_replace(trim(cell, ' ' || chr(9) || chr(10)), '^(?:\[([^\[\]]*)\]|\(([^()]*)\)|\{([^{}]*)\})$', '\1\2\3') AS c FROM t WHERE cell IS NOT NULL),
+m AS (SELECT source, regexp_replace(regexp_replace(c, '"[^"]*(?:""[^"]*)*"', chr(1), 'g'), '''[^'']*(?:''''[^'']*)*''', chr(1), 'g') AS m FROM b),
+d AS (SELECT unnest([';', '；', ',', '、', '，', '|', '/', chr(9), chr(10), ' ']) AS delimiter),
+p AS (SELECT source, delimiter, list_filter(list_transform(string_split(m, delimiter), lambda x: trim(x, ' ' || chr(9) || chr(10))), lambda x: x <> '') AS ps
+  FROM m JOIN d ON contains(m, delimiter) AND (delimiter <> ' ' OR NOT regexp_matches(m, '[;；,、，|/\t\n]'))),
+n AS (SELECT source, delimiter, len(ps) AS n, len(list_filter(ps, lambda x: x = chr(1) OR regexp_full_match(x, '[+-]?(?:\d+:)*\d+(?:\.\d+)?'))) AS numeric,
+  list_bool_and(list_transform(ps, lambda x: regexp_full_match(x, '(?:[+-]?(?:\d+:)*\d+(?:\.\d+)?|\x01)(?:[\s;；,、，|/]+(?:[+-]?(?:\d+:)*\d+(?:\.\d+)?|\x01))*[\s;；,、，|/]*')
+    OR regexp_full_match(x, '[\p{L}\p{N}_''’-]+(?:[/&.+][\p{L}\p{N}_''’-]+)*(?: [\p{L}\p{N}_''’-]+(?:[/&.+][\p{L}\p{N}_''’-]+)*){0,3}'))) AS regular FROM p WHERE len(ps) > 0),
+a AS (SELECT source, delimiter, count(*) AS cells, avg(n) AS pieces, stddev_pop(n) AS deviation, avg(CAST(regular AS INT)) AS regular, avg(numeric / n) AS numeric, max(n) AS most FROM n GROUP BY ALL),
+k AS (SELECT * EXCLUDE (most), CASE WHEN most < 2 THEN 0 ELSE 1 / (1 + deviation / pieces) END AS consistent FROM a)
+SELECT source, delimiter, cells, round(pieces, 6) AS pieces, round(deviation, 6) AS deviation, round(regular, 6) AS regular, round(numeric, 6) AS numeric, round(consistent, 6) AS consistent, round(regular * consistent, 6) AS score FROM k
+"""
+
+
 QUERIES = {"p3_found": p3_found, "p3_coverage": p3_coverage, "p7_found": p7_found, "p7_delimiters": p7_delimiters}
-ORACLES = {"p3_found": P3_FOUND, "p3_coverage": P3_COVERAGE, "p7_found": P7_FOUND}
+ORACLES = {"p3_found": P3_FOUND, "p3_coverage": P3_COVERAGE, "p7_found": P7_FOUND, "p7_delimiters": P7_DELIMITERS}

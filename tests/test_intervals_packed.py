@@ -81,3 +81,22 @@ def test_delimiters_per_source_and_long_cells(spark):
     long = cells(spark, [";".join(f'"{i},5"' for i in range(20_000)), "1;2"])
     assert unpack(long, "source", "cell", ["k"]).where("k = '0'").agg(F.max("pos")).first()[0] == 19_999
     assert unpack(long.limit(0), "source", "cell", ["k"]).count() == 0
+
+
+def test_signs_inside_values_are_no_delimiters(spark):
+    x = ["on/off switch; n/a; lamp", "input/output; fader", "n/a; on/off switch", "lamp; fader; n/a", "input/output", "cable; n/a", "left, right; n/a"]
+    df = cells(spark, x, "w")
+    assert infer_delimiters(df, "source", "cell") == {"w": [";"]}
+    got = values(unpack(df, "source", "cell", ["k"]))
+    assert got["0"] == ["on/off switch", "n/a", "lamp"] and "4" not in got and got["6"] == ["left, right", "n/a"]
+    # one separator, and a sign that stands in a few cells only beside it
+    one = cells(spark, ["a|b|c", "d|e", "f|g|h/i"] * 5, "o")
+    assert infer_delimiters(one, "source", "cell") == {"o": ["|"]}
+
+
+def test_candidates_are_scored_alone(spark):
+    from susurrus.operators.packed import delimiter_scores
+
+    got = {r.delimiter: r for r in delimiter_scores(cells(spark, ["a;b", "c;d;e", "f/g;h", None, "", ";"]), "source", "cell").collect()}
+    assert set(got) == {";", "/"} and got[";"].cells == 3 and abs(got[";"].pieces - 7 / 3) < 1e-9 and got[";"].regular == 1.0
+    assert got["/"].cells == 1 and got["/"].pieces == 2 and got["/"].regular == 0 and got["/"].deviation == 0
