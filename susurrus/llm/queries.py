@@ -62,19 +62,30 @@ def _units(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """Targets that cannot be met, from the report of the draw."""
+    """Targets that cannot be met: the draw misses more rows than it passed over."""
     return p4_report(spark, d).where("not met").select("scope", "category")
 
 
 def p4_sample(spark: SparkSession, d: str) -> DataFrame:
     """The two samples."""
-    return sampling.draw(_units(spark, d), table(spark, d, "sample_target"))
+    return sampling.draw(_units(spark, d), table(spark, d, "sample_target")).where("drawn").drop("drawn")
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
-    """Wanted, available and drawn of every target."""
-    units, targets = _units(spark, d), table(spark, d, "sample_target")
-    return sampling.report(units, targets, sampling.draw(units, targets))
+    """Drawn, passed over and missing of every target."""
+    targets = table(spark, d, "sample_target")
+    return sampling.report(targets, sampling.draw(_units(spark, d), targets))
+
+
+def p4_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Per target the available units, and whether the draw took the calibrated number within one unit (it always should)."""
+    targets = table(spark, d, "sample_target")
+    x = p4_report(spark, d)
+    sizes = {}
+    for r in x.withColumn("available", F.col("drawn") + F.col("spare")).collect():  # one row a target
+        sizes.setdefault(r["scope"], []).append(r.asDict())
+    rows = [(s, r["category"], r["available"], bool(abs(sampling.chances(own)[r["category"]] * r["available"] - r["drawn"]) <= 1.001)) for s, own in sizes.items() for r in own]
+    return spark.createDataFrame(rows, f"scope {dict(targets.dtypes)['scope']}, category string, available long, calibrated boolean")
 
 
 P4_FOUND = r"""
@@ -97,8 +108,8 @@ r AS (SELECT DISTINCT id AS u, id AS v FROM train_events WHERE id IS NOT NULL UN
 SELECT min(v) AS group_id, u AS id FROM r GROUP BY u HAVING min(v) <> u
 """
 
-QUERIES = {"p2_found": p2_found, "p2_split": p2_split, "p2_shares": p2_shares, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report}
-ORACLES = {"p2_found": P2_FOUND, "p4_found": P4_FOUND}
+QUERIES = {"p2_found": p2_found, "p2_split": p2_split, "p2_shares": p2_shares, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report, "p4_balance": p4_balance}
+ORACLES = {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p4_balance": P4_FOUND.split("SELECT t.scope")[0] + "SELECT t.scope, t.category, coalesce(a.n, 0) AS available, true AS calibrated FROM sample_target t LEFT JOIN a USING (scope, category)"}
 
 
 # 8: evaluation texts leaking into training text
