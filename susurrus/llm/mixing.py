@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import math
 import os
 from collections.abc import Iterator
@@ -13,25 +14,41 @@ from pyspark.sql import functions as F
 from ..operators.prefix import running_sum
 from ..sources.tables import cut
 
-#: A byte-level BPE vocabulary (tokenizers format); the folder is a parameter of the installation.
-TOKENIZER = os.environ.get("SUSURRUS_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
+#: A byte-level BPE vocabulary, as ranks (.tiktoken) or in the tokenizers format (.json), at the same place on every
+#: executor; the place is a parameter of the installation.
+TOKENIZER = os.environ.get("SUSURRUS_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+#: Fixed value: how byte-level BPE cuts a text before it merges.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def token_counts(path: str = TOKENIZER, texts_at_once: int = 256):
-    """A function column -> column: tokens of a text by the tokenizer file `path`; null for null, 0 for the empty text."""
-
-    @F.pandas_udf("bigint")
-    def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _counter(path: str):
+    """A function list of texts -> list of token counts; texts that look like special tokens are ordinary text."""
+    if path.endswith(".json"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True
+        return lambda texts: [len(e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    e = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [len(e.encode_ordinary(x)) for x in texts]
+
+
+def token_counts(path: str = TOKENIZER, texts_at_once: int = 256):
+    """A function column -> column: tokens of a text by the tokenizer file `path`; null for null, 0 for the empty text."""
+
+    @F.pandas_udf("bigint")
+    def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        sizes_of = _counter(path)
         for s in parts:
             out: list = []
             for i in range(0, len(s), texts_at_once):
                 texts = s.iloc[i : i + texts_at_once]
-                sizes = iter([len(e.ids) for e in t.encode_batch_fast([x for x in texts if x is not None], add_special_tokens=False)])
+                sizes = iter(sizes_of([x for x in texts if x is not None]))
                 out += [None if x is None else next(sizes) for x in texts]
             yield pd.Series(out, dtype="Int64")
 
@@ -70,7 +87,7 @@ def mix(docs: DataFrame, doc: str, source: str, text: str, targets: DataFrame, s
 
     Documents with null source or null text are left out, blank texts have the size that `size` gives; null repeats count
     as 1, null shares as 0; a target source without documents falls short; sources without target are in the budget but
-    not in the mixture; repeated ids are separate documents.
+    not in the mixture; repeated ids are separate documents (equal rows may change places, which changes no size).
     """
     spark = docs.sparkSession
     sized = docs.where(F.col(source).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).alias("doc"), F.col(source).alias("source"), size(F.col(text)).alias("size"))
@@ -89,7 +106,7 @@ def mix(docs: DataFrame, doc: str, source: str, text: str, targets: DataFrame, s
 
     bits = max(2, min(20, math.ceil(math.log2(max(1, all_rows) / 100_000 + 1)) + 4))
     facts = F.broadcast(spark.createDataFrame([(g["source"], g["share"], g["repeats"], float(g["total"])) for g in goals if g["share"] > 0 and g["total"]], "source string, share double, repeats int, total double"))
-    queue = cut(running_sum(sized.withColumn("b", F.shiftright("h", 64 - bits)), ["source"], "b", ["h", "doc"], "size", "upto").join(facts, "source"))
+    queue = cut(running_sum(sized.withColumn("b", F.shiftright("h", 64 - bits)), ["source"], "b", ["h", "doc", "size"], "size", "upto").join(facts, "source"))
     dry = queue.groupBy("source").agg(F.max(((F.col("repeats") - 1) * F.col("total") + F.col("upto")) / F.col("share")).alias("last_finish"))
     needed = F.least(F.col("repeats"), F.floor((late * F.col("share") - F.col("upto")) / F.col("total")) + 1)
     copies = (
@@ -97,7 +114,7 @@ def mix(docs: DataFrame, doc: str, source: str, text: str, targets: DataFrame, s
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("needed").cast("int") - 1)))
         .select("doc", "source", "copy", "size", ((F.col("copy") * F.col("total") + F.col("upto")) / F.col("share")).alias("finish"), "h")
     )
-    served = running_sum(copies.withColumn("b", F.floor(F.col("finish") / F.lit(max(late, 1e-9)) * bins)), [], "b", ["finish", "source", "h", "doc", "copy"], "size", "upto")
+    served = running_sum(copies.withColumn("b", F.floor(F.col("finish") / F.lit(max(late, 1e-9)) * bins)), [], "b", ["finish", "source", "h", "doc", "size", "copy"], "size", "upto")
     mixture = cut(served.where(F.col("upto") <= budget).select("doc", "source", "copy", "size", "finish"))
 
     actual = mixture.groupBy("source").agg(F.count("*").alias("copies"), F.sum("size").alias("size"))

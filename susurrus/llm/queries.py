@@ -205,29 +205,43 @@ ORACLES |= {"p6_agreement": P6_AGREEMENT}
 
 
 # 9: mixing sources to target weights
-def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, d, "documents")
-    # the problem's statement counts words between blanks at its smallest scale (100 documents), tokens from 1,000 on
-    size = mixing.word_counts if docs.count() < 300 else mixing.token_counts()
-    return mixing.mix(docs, "doc_id", "source", "text", table(spark, d, "source_target"), size)
+#: Units of size by name; the session setting `susurrus.mix.unit` picks one, "tokens" if it is unset. ("words" is the unit
+#: that the problem's statement has for its smallest scale.)
+UNITS = {"tokens": lambda: mixing.token_counts(), "words": lambda: mixing.word_counts}
 
 
-def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    """Sources that run dry before their share is served."""
-    return _mix(spark, d)[1].where("short").select("source")
+def _mix(spark: SparkSession, d: str, unit: str | None = None) -> tuple[DataFrame, DataFrame]:
+    size = UNITS[unit or spark.conf.get("susurrus.mix.unit", "tokens")]()
+    return mixing.mix(table(spark, d, "documents"), "doc_id", "source", "text", table(spark, d, "source_target"), size)
 
 
-def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+def p9_found(spark: SparkSession, d: str, unit: str | None = None) -> DataFrame:
+    """Sources whose last copy in the queue finishes before the virtual time of the budget."""
+    return _mix(spark, d, unit)[1].where("short").select("source")
+
+
+def p9_mix(spark: SparkSession, d: str, unit: str | None = None) -> DataFrame:
     """Every copy of a document in the mixture."""
-    return _mix(spark, d)[0].select(F.col("doc").alias("doc_id"), "source", "copy", F.col("size").alias("tokens"), "finish")
+    return _mix(spark, d, unit)[0].select(F.col("doc").alias("doc_id"), "source", "copy", F.col("size").alias("tokens"), "finish")
 
 
-def p9_report(spark: SparkSession, d: str) -> DataFrame:
+def p9_report(spark: SparkSession, d: str, unit: str | None = None) -> DataFrame:
     """Target and actual share of every source."""
-    return _mix(spark, d)[1]
+    return _mix(spark, d, unit)[1]
+
 
+def p9_words(spark: SparkSession, d: str) -> DataFrame:
+    """The report with sizes in words between blanks, which SQL can count: available size and whether a source is short."""
+    return p9_report(spark, d, "words").select("source", "available", "short")
 
-QUERIES |= {"p9_found": p9_found, "p9_mix": p9_mix, "p9_report": p9_report}
+
+P9_WORDS = r"""
+WITH x AS (SELECT source, len(list_filter(regexp_split_to_array(text, '[\s\x0b\x{85}\p{Z}]+'), lambda w: w <> '')) AS n FROM documents WHERE source IS NOT NULL AND text IS NOT NULL),
+t AS (SELECT source, sum(n) AS n FROM x GROUP BY source), b AS (SELECT max(budget_factor) * (SELECT sum(n) FROM x) AS budget FROM source_target)
+SELECT source, CAST(coalesce(n, 0) AS BIGINT) AS available, coalesce(n, 0) * max_repeats < target_share * budget AS short FROM source_target LEFT JOIN t USING (source), b
+"""
+QUERIES |= {"p9_found": p9_found, "p9_mix": p9_mix, "p9_report": p9_report, "p9_words": p9_words}
+ORACLES |= {"p9_words": P9_WORDS}
 
 
 # 10: subject area of each document

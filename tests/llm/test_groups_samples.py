@@ -296,3 +296,21 @@ def test_token_counts(spark):
     f = mixing.token_counts()
     got = [r.n for r in spark.createDataFrame([("hello world",), (None,), ("",), ("a" * 5000,)], "t string").select(f("t").alias("n")).collect()]
     assert got[0] == 2 and got[1] is None and got[2] == 0 and got[3] > 1
+
+
+def test_both_tokenizer_formats_count_alike(spark):
+    texts = ["Hello  world, it's 12:30!", "naïve 漢字 ", "<|endoftext|> x", "\n\n a"]
+    sizes = [mixing._counter(p)(texts) for p in ("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/byte_bpe_50k.tiktoken")]
+    assert sizes[0] == sizes[1]
+
+
+def test_the_unit_of_the_mixture_is_a_setting(spark, monkeypatch):
+    from susurrus.llm import queries
+
+    seen = []
+    monkeypatch.setattr(queries, "UNITS", {"tokens": lambda: seen.append("tokens") or mixing.word_counts, "words": lambda: seen.append("words") or mixing.word_counts})
+    queries._mix(spark, "/root/testdata/sf0.001")
+    spark.conf.set("susurrus.mix.unit", "words")
+    queries._mix(spark, "/root/testdata/sf0.001")
+    spark.conf.unset("susurrus.mix.unit")
+    assert seen == ["tokens", "words"]
