@@ -5,25 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_join
 from ..sources.tables import cut, table
 from . import canonical, consensus, languages, leaks, mixing, sampling, splits, topics
 
 
 # 2: splits that keep related records together
-def _clip_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Rows (label_id, component, verb) of train_label: the group of the clip's video; a clip that no event lists hangs on
-    its author's group, or on its own wav (its own row, if that is null)."""
-    events, labels = table(spark, d, "train_events"), table(spark, d, "train_label")
-    groups = splits.video_groups(events, labels)
-    listed = events.select(F.explode("segments").alias("s"), "id").groupBy(F.col("s.audio_path").alias("wav")).agg(F.min("id").alias("id")).where("wav is not null and id is not null")
-    authors = splits.video_authors(events, labels).groupBy("author").agg(F.min("id").alias("author_id"))
-    base = labels.select("label_id", "wav", splits.author_key("author").alias("author"), F.regexp_replace(F.lower(F.trim("verb")), r"\s+", "_").alias("verb"))
-    at = base.join(listed, "wav", "left").join(authors, "author", "left")
-    alone = F.coalesce(F.concat(F.lit("author:"), "author"), F.concat(F.lit("wav:"), "wav"), F.concat(F.lit("row:"), F.col("label_id").cast("string")))
-    at = at.withColumn("id", F.coalesce("id", "author_id"))
-    return at.join(groups, "id", "left").select("label_id", F.coalesce("component", alone).alias("component"), "verb")
-
-
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Every video that is not the smallest of its group, with the smallest."""
     g = splits.video_groups(table(spark, d, "train_events"), table(spark, d, "train_label"))
@@ -32,22 +19,42 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     targets = {x["split"]: x["target_share"] for x in table(spark, d, "split_target").collect()}
-    clips = _clip_groups(spark, d)
-    return clips, splits.grouped_split(clips, "component", "verb", targets)
+    clips = splits.clip_groups(table(spark, d, "train_events"), table(spark, d, "train_label"))
+    return clips, cut(splits.grouped_split(clips, "component", "verb", targets))
 
 
 def p2_split(spark: SparkSession, d: str) -> DataFrame:
     """The split of every clip."""
     clips, split = _split(spark, d)
-    return clips.join(split, "component").select("label_id", "component", "split")
+    return hot_join(clips, split, "component", "inner").select("label_id", "component", "split")
 
 
-def p2_shares(spark: SparkSession, d: str) -> DataFrame:
-    """Share of each split, in all and by verb."""
+def _split_counts(spark: SparkSession, d: str) -> DataFrame:
     clips, split = _split(spark, d)
-    n = clips.join(split, "component").groupBy("verb", "split").agg(F.count("*").alias("clips"))
+    # counted by component first, so a hot component is one row a verb before the join
+    n = clips.groupBy("component", "verb").agg(F.count("*").alias("clips"))
+    return hot_join(n, split, "component", "inner").groupBy("verb", "split").agg(F.sum("clips").alias("clips"))
+
+
+def p2_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Share of each split, by verb."""
+    n = _split_counts(spark, d)
     of = n.groupBy("verb").agg(F.sum("clips").alias("of_verb"))
-    return n.alias("l").join(of.alias("r"), F.col("l.verb").eqNullSafe(F.col("r.verb"))).select("l.verb", "split", "clips", (F.col("clips") / F.col("of_verb")).alias("share"))
+    return n.alias("l").join(F.broadcast(of).alias("r"), F.col("l.verb").eqNullSafe(F.col("r.verb"))).select("l.verb", "split", "clips", (F.col("clips") / F.col("of_verb")).alias("share"))
+
+
+def p2_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Per verb of 200 clips or more, and over all (null verb): its clips, whether each split is within 0.05 (over all:
+    0.005) of its target."""
+    goal = table(spark, d, "split_target").groupBy("split").agg(F.max("target_share").alias("target"))
+    n = _split_counts(spark, d)
+    n = cut(n.select(F.coalesce("verb", F.lit("")).alias("verb"), "split", "clips").unionByName(n.groupBy("split").agg(F.sum("clips").alias("clips")).select(F.lit(None).cast("string").alias("verb"), "split", "clips")))
+    whole = n.groupBy("verb").agg(F.sum("clips").alias("clips")).where("verb is null or clips >= 200")
+    grid = whole.select("verb", "clips", F.explode(F.array(*[F.struct(F.lit(x["split"]).alias("split"), F.lit(x["target"]).alias("target")) for x in goal.collect()])).alias("x")).select("verb", "clips", "x.*")
+    have = n.select(F.col("verb").alias("v"), F.col("split").alias("s"), F.col("clips").alias("have"))
+    x = grid.join(have, F.col("verb").eqNullSafe(F.col("v")) & (F.col("split") == F.col("s")), "left")
+    near = F.abs(F.coalesce("have", F.lit(0)) / F.col("clips") - F.col("target")) <= F.when(F.col("verb").isNull(), 0.005).otherwise(0.05)
+    return x.groupBy("verb", "clips").agg(F.bool_and(near).alias("balanced"))
 
 
 # 4: sample matching target category proportions
@@ -108,8 +115,12 @@ r AS (SELECT DISTINCT id AS u, id AS v FROM train_events WHERE id IS NOT NULL UN
 SELECT min(v) AS group_id, u AS id FROM r GROUP BY u HAVING min(v) <> u
 """
 
-QUERIES = {"p2_found": p2_found, "p2_split": p2_split, "p2_shares": p2_shares, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report, "p4_balance": p4_balance}
-ORACLES = {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p4_balance": P4_FOUND.split("SELECT t.scope")[0] + "SELECT t.scope, t.category, coalesce(a.n, 0) AS available, true AS calibrated FROM sample_target t LEFT JOIN a USING (scope, category)"}
+QUERIES = {"p2_found": p2_found, "p2_split": p2_split, "p2_shares": p2_shares, "p2_balance": p2_balance, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report, "p4_balance": p4_balance}
+P2_BALANCE = r"""
+WITH v AS (SELECT coalesce(regexp_replace(trim(lower(verb)), '\s+', '_', 'g'), '') AS verb FROM train_label)
+SELECT verb, count(*) AS clips, true AS balanced FROM v GROUP BY verb HAVING count(*) >= 200 UNION ALL SELECT NULL, count(*), true FROM v
+"""
+ORACLES = {"p2_found": P2_FOUND, "p2_balance": P2_BALANCE, "p4_found": P4_FOUND, "p4_balance": P4_FOUND.split("SELECT t.scope")[0] + "SELECT t.scope, t.category, coalesce(a.n, 0) AS available, true AS calibrated FROM sample_target t LEFT JOIN a USING (scope, category)"}
 
 
 # 8: evaluation texts leaking into training text

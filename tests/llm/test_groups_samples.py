@@ -83,6 +83,52 @@ def test_split_keeps_rare_labels_apart(spark):
     assert [test[f"v{lab:03d}"] for lab in range(256, 300)] == [4] * 44
 
 
+def test_large_groups_meet_the_shares():
+    """49 components of very uneven size, as in the test tables: every share near its target, by label too."""
+    rng = np.random.default_rng(3)
+    targets = {"train": 0.8, "validation": 0.1, "test": 0.1}
+    units = [(f"g{k}", {f"v{j}": int(n) for j, n in enumerate(rng.multinomial(int(700 / (k + 1)) + 5, rng.dirichlet(np.ones(12) * 0.4))) if n}) for k in range(49)]
+    placed = splits.iterative_stratification(units, targets)
+    whole, by = collections.Counter(), collections.Counter()
+    for key, v in units:
+        for k, n in v.items():
+            whole[placed[key]] += n
+            by[k, placed[key]] += n
+    total = sum(whole.values())
+    assert set(placed) == {k for k, _ in units} and all(abs(whole[s] / total - t) < 0.005 for s, t in targets.items())
+    off = [abs(by[f"v{j}", s] / sum(by[f"v{j}", x] for x in targets) - t) for j in range(12) for s, t in targets.items()]
+    assert np.mean(off) < 0.03
+
+
+def test_balance_counts_moves_and_swaps():
+    rng = np.random.default_rng(4)
+    vectors = [{int(k): float(rng.integers(1, 9)) for k in rng.choice(5, 3, replace=False)} for _ in range(12)]
+    b = splits.Balance(vectors, [0.5, 0.3, 0.2], 4.0)
+    for u in range(12):
+        b.put(u, int(rng.integers(0, 3)))
+    cost = lambda: float((b.weight[:, None] * b.off**2).sum())
+    for u in range(12):
+        was, home, g = cost(), int(b.split[u]), b.gains(u)
+        for s in range(3):
+            b.put(u, s)
+            assert abs(cost() - was - g[s]) < 1e-9
+        b.put(u, home)
+    before = cost()
+    b.refine()
+    assert cost() <= before
+
+
+def test_large_and_small_groups_by_one_method(spark):
+    """The result is balanced whatever counts as large, and a group of any size stays whole."""
+    rng = random.Random(11)
+    rows = [(f"g{int(rng.paretovariate(0.7)) % 900}", rng.choice("xxxxyyz")) for _ in range(6000)]
+    df = spark.createDataFrame(rows, "grp string, lab string")
+    for large, parts in ((1 / 2000, 64), (1 / 20, 4), (1.0, 8)):
+        got = {r.grp: r.split for r in splits.grouped_split(df, "grp", "lab", {"train": 0.8, "test": 0.2}, large, parts).collect()}
+        n = collections.Counter(got[g] for g, _ in rows)
+        assert set(got) == {g for g, _ in rows} and abs(n["train"] / 6000 - 0.8) < 0.03
+
+
 TARGETS = "scope string, category string, target_share double, min_rows int, sample_rows long"
 
 
