@@ -23,9 +23,10 @@ def _tokens(text):
 
 
 def readings(value, most_words):
-    """The squeezed strings that a value may mean: the last 1, 2, ... words of its phrases.
+    """The squeezed strings that a value may mean: the last 1, 2, ... `most_words` words of its phrases.
 
-    Parts are set off by commas, brackets, semicolons and dashes between blanks. Phrases are the parts in order, the parts
+    A suffix of more words than the longest alias and its edits have letters can't match, as a word has a letter; so
+    `most_words` = letters + 3 leaves out nothing. Parts are set off by commas, brackets, semicolons and dashes between blanks. Phrases are the parts in order, the parts
     in reverse order ("lid, tin") and the first part; words before the noun only describe it, so all suffixes count.
     """
     x = F.translate(folded(value), "_", " ")
@@ -51,13 +52,14 @@ def match(values: DataFrame, value: str, refs: DataFrame, alias: str, group: str
 
     Null values and null aliases are ignored; blank ones are unmatched; equal values are matched once.
     """
-    ref = refs.select(F.array_join(_tokens(folded(F.col(alias))), "").alias("a"), F.size(_tokens(folded(F.col(alias)))).alias("words"), F.col(alias).alias("alias"), F.col(group).alias("grp"))
-    ref = cut(ref.where("a <> '' and grp is not null").groupBy("a").agg(F.min(F.struct("alias", "grp")).alias("x"), F.max("words").alias("words")).select("a", "words", "x.*", F.length("a").alias("len")).withColumn("k", edits(F.col("len"))))
-    stats = ref.agg(F.count("*").alias("n"), F.coalesce(F.max("words"), F.lit(1)).alias("words")).first()
+    ref = refs.select(F.array_join(_tokens(folded(F.col(alias))), "").alias("a"), F.col(alias).alias("alias"), F.col(group).alias("grp"))
+    ref = cut(ref.where("a <> '' and grp is not null").groupBy("a").agg(F.min(F.struct("alias", "grp")).alias("x")).select("a", "x.*", F.length("a").alias("len")).withColumn("k", edits(F.col("len"))))
+    stats = ref.agg(F.count("*").alias("n"), F.coalesce(F.max("len"), F.lit(1)).alias("letters")).first()
     hint = F.broadcast if stats["n"] <= BROADCAST_ROWS else (lambda x: x)
 
     distinct = values.select(F.col(value).alias("value")).where("value is not null").distinct()
-    reads = cut(distinct.select("value", F.explode(readings(F.col("value"), stats["words"] + 2)).alias("r")).distinct())
+    longest = stats["letters"] + 3
+    reads = cut(distinct.select("value", F.explode(F.filter(readings(F.col("value"), longest), lambda r: F.length(r) <= longest)).alias("r")).distinct())
 
     # segment i of an alias of length len starts at begin and has size letters; the first (len mod (k + 1)) are one longer
     spread = lambda f: f.withColumn("base", F.floor(F.col("len") / (F.col("k") + 1))).withColumn("more", F.col("len") % (F.col("k") + 1))

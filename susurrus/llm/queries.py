@@ -148,7 +148,10 @@ ds AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 7), ' ') AS
 es AS (SELECT DISTINCT item_id, suite, array_to_string(list_slice(w, k, k + 7), ' ') AS s FROM (SELECT item_id, suite, w, unnest(range(1, len(w) - 6)) AS k FROM i WHERE len(w) >= 8))
 """
 QUERIES |= {"p8_found": p8_found, "p8_items": p8_items}
-ORACLES |= {"p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM ds JOIN es USING (s)"}
+_P8_ITEMS = _P8 + """, dp AS (SELECT doc_id, k, array_to_string(list_slice(w, k, k + 7), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS k FROM n WHERE len(w) >= 8)),
+h AS (SELECT doc_id, item_id, suite, count(DISTINCT at) AS words FROM (SELECT doc_id, item_id, suite, unnest(range(k, k + 8)) AS at FROM dp JOIN es USING (s)) GROUP BY ALL)
+SELECT item_id, suite, count(*) AS documents, max(words) AS most_words FROM h GROUP BY ALL"""
+ORACLES |= {"p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM ds JOIN es USING (s)", "p8_items": _P8_ITEMS}
 
 
 # 5: mapping free-entered values to canonical list
@@ -156,7 +159,10 @@ def _typed(spark: SparkSession, d: str) -> DataFrame:
     """Rows (label_id, field_name, typed): values that are not null, blank, `fail` or letter for letter an alias."""
     pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("typed")) for f in ("subject", "object")])
     rows = table(spark, d, "train_label").select("label_id", F.explode(pairs).alias("x")).select("label_id", "x.*").where(r"typed is not null and not typed rlike '(?U)^\\s*$' and lower(trim(typed)) <> 'fail'")
-    return rows.join(F.broadcast(table(spark, d, "noun_alias_v1").select(F.col("alias").alias("typed"))), "typed", "left_anti")
+    known = table(spark, d, "noun_alias_v1").select(F.col("alias").alias("typed")).distinct()
+    if known.count() <= canonical.BROADCAST_ROWS:
+        return rows.join(F.broadcast(known), "typed", "left_anti")
+    return hot_join(rows, cut(known.withColumn("known", F.lit(True))), "typed").where("known is null").drop("known")
 
 
 def _mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -292,7 +298,7 @@ def p1_runs(spark: SparkSession, d: str) -> DataFrame:
 QUERIES |= {"p1_found": p1_found, "p1_runs": p1_runs}
 
 
-# the readings of every distinct value against every alias, by brute force; the longest alias has four words
+# the readings of every distinct value against every alias, by brute force
 P5_FOUND = r"""
 WITH a AS (SELECT array_to_string(regexp_extract_all(lower(alias), '[\p{L}\p{N}]+'), '') AS a, min(struct_pack(alias := alias, g := group_id)).g AS g FROM noun_alias_v1 GROUP BY 1),
 t AS (SELECT label_id, 'subject' AS field_name, subject AS v FROM train_label UNION ALL SELECT label_id, 'object', object FROM train_label),
@@ -300,9 +306,10 @@ c AS (SELECT * FROM t WHERE v IS NOT NULL AND trim(v) <> '' AND lower(trim(v)) <
 d AS (SELECT DISTINCT v, list_filter(regexp_split_to_array(lower(replace(v, '_', ' ')), '[,;()\[\]{}]|\s[-–—]+\s'), lambda p: regexp_matches(p, '[\p{L}\p{N}]')) AS parts FROM c),
 p AS (SELECT v, unnest([array_to_string(parts, ' '), array_to_string(list_reverse(parts), ' '), coalesce(parts[1], '')]) AS phrase FROM d),
 w AS (SELECT v, regexp_extract_all(phrase, '[\p{L}\p{N}]+') AS ws FROM p),
-s AS (SELECT DISTINCT v, array_to_string(ws[k:], '') AS r FROM (SELECT v, ws, unnest(range(greatest(1, len(ws) - 5), len(ws) + 1)) AS k FROM w)),
+s AS (SELECT DISTINCT v, array_to_string(ws[k:], '') AS r FROM (SELECT v, ws, unnest(range(1, len(ws) + 1)) AS k FROM w)),
 m AS (SELECT v, a.a, a.g, levenshtein(r, a.a) AS e FROM s JOIN a ON abs(length(r) - length(a.a)) <= 3),
 b AS (SELECT v, g FROM m WHERE e <= CASE WHEN length(a) <= 5 THEN 1 WHEN length(a) <= 9 THEN 2 ELSE 3 END QUALIFY row_number() OVER (PARTITION BY v ORDER BY e / length(a), -length(a), a) = 1)
 SELECT label_id, field_name, coalesce(g, 'unmatched') AS group_id FROM c LEFT JOIN b USING (v)
 """
-ORACLES |= {"p5_found": P5_FOUND}
+P5_UNMATCHED = P5_FOUND.rsplit("SELECT label_id", 1)[0] + "SELECT v AS value, count(*) AS n FROM c LEFT JOIN b USING (v) WHERE g IS NULL GROUP BY v"
+ORACLES |= {"p5_found": P5_FOUND, "p5_unmatched": P5_UNMATCHED}

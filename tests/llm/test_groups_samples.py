@@ -195,7 +195,7 @@ REFS = [("fingers", "finger tips"), ("fingers", "fingertips"), ("lid", "tin lid"
 def test_canonical_forms(spark):
     want = {
         "Finger_Tips": "fingers", "the fingertips!": "fingers", "dark green finger  tips, second take": "fingers", "lid, tin": "lid", "tin ld": "lid", "Tin Lid (left side)": "lid", "woooden saald bowl - close up": "bowl",
-        "plms": "palms", "shaving foam": "foam", "shavng foam": "foam", "accordion": "unmatched", "bowling lane": "unmatched", " ": "unmatched", "": "unmatched", "???": "unmatched", "ｆｉｎｇｅｒ ｔｉｐｓ": "fingers", "word " * 5000: "unmatched",
+        "plms": "palms", "shaving foam": "foam", "shavng foam": "foam", "accordion": "unmatched", "bowling lane": "unmatched", " ": "unmatched", "": "unmatched", "???": "unmatched", "ｆｉｎｇｅｒ ｔｉｐｓ": "fingers", "word " * 5000: "unmatched", "t i n l i d": "lid", "held by f i n g e r t i p s": "fingers", "w o o d e n s a l a d b o w l": "bowl",
     }
     v = spark.createDataFrame([(x, "clash") for x in [*want, None, "plms"]], "value string, grp string")
     refs = spark.createDataFrame(REFS, "group_id string, alias string")
@@ -284,7 +284,9 @@ def test_consensus_recovers_truth(spark):
     assert 0 < alpha["verb"] < 1
 
 
-def test_leaks_against_brute_force(spark):
+@pytest.mark.parametrize("bound", [200_000, 40, 0])
+def test_leaks_against_brute_force(spark, monkeypatch, bound):
+    monkeypatch.setattr(leaks, "BROADCAST_WINDOWS", bound)
     rng = random.Random(8)
     vocab = [f"w{i}" for i in range(25)]
     items = [(k, " ".join(rng.choice(vocab) for _ in range(20))) for k in range(6)] + [(90, "too short"), (91, None), (92, "")]
