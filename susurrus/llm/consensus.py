@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_join
 from ..sources.tables import cut
 
 
@@ -49,8 +51,11 @@ def ability_step(alpha: np.ndarray, grad: np.ndarray, weight: np.ndarray, mean:
 
 #: States of a row that does not count.
 NOT_FINISHED = ["pending", "skip", "skipped", "invalid", "excluded"]
-#: Abilities of up to this many annotators are held by the driver (some 50 bytes each).
+#: Abilities of up to this many annotators are held by the driver (some 50 bytes each); more are an error. So an item has
+#: at most so many votes, 16 bytes each, in its row.
 MAX_ANNOTATORS = 1_000_000
+#: The numbers of up to this many annotators are broadcast, beyond it they are joined by `hot_join`.
+BROADCAST_ANNOTATORS = 100_000
 
 
 def label_text(col):
@@ -97,26 +102,30 @@ def _flat(batch: pa.RecordBatch):
     return np.concatenate([at, at + n]), np.concatenate([ann, ann]), lab, n_lab
 
 
-def fit(v: DataFrame, wrong: float = 2.0, max_rounds: int = 25, tolerance: float = 0.01):
+def fit(v: DataFrame, wrong: float = 2.0, max_rounds: int = 100, tolerance: float = 0.01):
     """(consensus, annotators) by gradient expectation-maximisation of the ability-difficulty model.
 
     consensus: (item, verb, object, verb_confidence, object_confidence, verb_difficulty, object_difficulty); annotators:
-    (annotator, ability, reliability, votes), reliability being the chance of a right label on an item of usual difficulty.
+    (annotator, ability, reliability, votes, converged), reliability being the chance of a right label on an item of usual difficulty.
 
     An annotator has one ability for both fields. Items are packed once, one row with one vote an annotator, and stay in
     the shared folder; a round reads them, solves labels and difficulties per item given the abilities, and returns only
     the gradient sums of the annotators, pre-aggregated per task. `wrong` is the number of labels among which a wrong vote
     falls: wrong votes crowd on few likely confusions. Abilities don't fall below the point where a vote says nothing, so
     one who always gives the same label is ignored, not inverted. Ties go to the label that sorts first.
+
+    Rounds end when no ability moves by `tolerance` or more; `max_rounds` without that is told by a warning, and the
+    column `converged` of annotators says it too.
     """
     spark = v.sparkSession
     counted = v.groupBy("annotator").agg(F.count("*").alias("votes")).orderBy("annotator").limit(MAX_ANNOTATORS + 1).collect()
     if len(counted) > MAX_ANNOTATORS:
         raise ValueError(f"more than {MAX_ANNOTATORS} annotators")
-    names = spark.createDataFrame([(x["annotator"], k) for k, x in enumerate(counted)], "annotator string, k int")
+    names = cut(spark.createDataFrame([(x["annotator"], k) for k, x in enumerate(counted)], "annotator string, k int"))
+    numbered = v.join(F.broadcast(names), "annotator") if len(counted) <= BROADCAST_ANNOTATORS else hot_join(v, names, "annotator", "inner")
     place = lambda c: F.transform(F.col(c), lambda x: F.array_position(F.col(f"{c}s"), x).cast("int") - 1)
     packed = cut(
-        v.join(F.broadcast(names), "annotator").groupBy("item").agg(F.sort_array(F.collect_list(F.struct("k", "verb", "object"))).alias("x"))
+        numbered.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("k", "verb", "object"))).alias("x"))
         .select("item", F.col("x.k").alias("ann"), F.col("x.verb").alias("verb"), F.col("x.object").alias("object"))
         .withColumn("verbs", F.array_sort(F.array_distinct("verb"))).withColumn("objects", F.array_sort(F.array_distinct("object")))
         .select("item", "ann", place("verb").alias("v"), place("object").alias("o"), "verbs", "objects", F.size("verbs").alias("nv"), F.size("objects").alias("no"))
@@ -124,10 +133,12 @@ def fit(v: DataFrame, wrong: float = 2.0, max_rounds: int = 25, tolerance: float
     votes_only = packed.select("ann", "v", "o", "nv", "no")
     floor = float(np.log(1 / wrong))
     alpha = np.ones(len(counted))
+    moved = np.inf if counted else 0.0
     for _ in range(max_rounds if counted else 0):
-        now = np.maximum(alpha, floor)
+        sent = spark.sparkContext.broadcast(np.maximum(alpha, floor))
 
-        def sums(batches: Iterator[pa.RecordBatch], now: np.ndarray = now) -> Iterator[pa.RecordBatch]:
+        def sums(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            now = sent.value
             g, w = np.zeros(len(now)), np.zeros(len(now))
             for b in batches:
                 if b.num_rows:
@@ -139,17 +150,21 @@ def fit(v: DataFrame, wrong: float = 2.0, max_rounds: int = 25, tolerance: float
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(g[k]), pa.array(w[k])], ["k", "g", "w"])
 
         got = votes_only.mapInArrow(sums, "k int, g double, w double").groupBy("k").agg(F.sum("g").alias("g"), F.sum("w").alias("w")).collect()
+        sent.destroy()
         g, w = np.zeros(len(alpha)), np.zeros(len(alpha))
         for x in got:
             g[x["k"]], w[x["k"]] = x["g"], x["w"]
         after = ability_step(alpha, g, w)
-        moved = np.abs(after - alpha).max()
+        moved = float(np.abs(after - alpha).max())
         alpha = after
         if moved < tolerance:
             break
-    now = np.maximum(alpha, floor)
+    if moved >= tolerance:
+        warnings.warn(f"abilities still moved by {moved:.3g} after {max_rounds} rounds", stacklevel=2)
+    final = spark.sparkContext.broadcast(np.maximum(alpha, floor))  # read when the consensus is; freed with it
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = final.value
         for b in batches:
             if not b.num_rows:
                 continue
@@ -167,5 +182,5 @@ def fit(v: DataFrame, wrong: float = 2.0, max_rounds: int = 25, tolerance: float
 
     schema = "item string, verb string, object string, verb_confidence double, object_confidence double, verb_difficulty double, object_difficulty double"
     consensus = packed.mapInArrow(label, schema)
-    people = [(x["annotator"], float(a), float(_sigmoid(np.array([a]))[0]), x["votes"]) for x, a in zip(counted, alpha, strict=True)]
-    return consensus, spark.createDataFrame(people, "annotator string, ability double, reliability double, votes long")
+    people = [(x["annotator"], float(a), float(_sigmoid(np.array([a]))[0]), x["votes"], moved < tolerance) for x, a in zip(counted, alpha, strict=True)]
+    return consensus, spark.createDataFrame(people, "annotator string, ability double, reliability double, votes long, converged boolean")

@@ -149,7 +149,7 @@ es AS (SELECT DISTINCT item_id, suite, array_to_string(list_slice(w, k, k + 7),
 """
 QUERIES |= {"p8_found": p8_found, "p8_items": p8_items}
 _P8_ITEMS = _P8 + """, dp AS (SELECT doc_id, k, array_to_string(list_slice(w, k, k + 7), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS k FROM n WHERE len(w) >= 8)),
-h AS (SELECT doc_id, item_id, suite, count(DISTINCT at) AS words FROM (SELECT doc_id, item_id, suite, unnest(range(k, k + 8)) AS at FROM dp JOIN es USING (s)) GROUP BY ALL)
+h AS (SELECT doc_id, item_id, suite, count(DISTINCT place) AS words FROM (SELECT doc_id, item_id, suite, unnest(range(k, k + 8)) AS place FROM dp JOIN es USING (s)) GROUP BY ALL)
 SELECT item_id, suite, count(*) AS documents, max(words) AS most_words FROM h GROUP BY ALL"""
 ORACLES |= {"p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM ds JOIN es USING (s)", "p8_items": _P8_ITEMS}
 

@@ -280,8 +280,11 @@ def test_consensus_recovers_truth(spark):
     assert set(got) == set(truth) and right(got) > right(majority) and right(got) > 265
     rel = {r.annotator: r.reliability for r in people.collect()}
     assert rel["good1"] > rel["fair"] > rel["bad1"]
+    assert all(r.converged for r in people.collect())
     alpha = {r.field: r.alpha for r in consensus.agreement(v).collect()}
     assert 0 < alpha["verb"] < 1
+    with pytest.warns(UserWarning, match="still moved"):
+        assert not any(r.converged for r in consensus.fit(v, max_rounds=1)[1].collect())
 
 
 @pytest.mark.parametrize("bound", [200_000, 40, 0])
