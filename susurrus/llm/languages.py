@@ -11,24 +11,33 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import cut
+from ..operators.timelines import first_by
 
 #: The languages told apart.
 LANGUAGES = ["en", "es", "pt", "de", "fr", "it", "ru", "ja", "ko", "zh"]
-#: Labelled texts used to fit, per declared language, by hash order.
-FIT_ROWS = 2_000
+#: Labelled texts used to fit: distinct texts per declared language, by hash order, and the characters up to which a text
+#: is used to fit (longer texts are scored whole, but don't enter the trees). The two bound the trees.
+FIT_ROWS, FIT_CHARS = 2_000, 2_000
 ORDER = 5
 #: Bits that a change of language costs between words, and across a separator.
 SWITCH, SWITCH_AT_MARK = 16.0, 9.0
+#: Bits that halve the weight of a language in a confidence: bytes of a word are not independent.
+TEMPERATURE = 3.0
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_MARK = re.compile(r"[^\w\s,'’、，]|\n")
 _PIECE = re.compile(r"[/|~・\n\r\t【】()（）\[\]:：]+|\s-\s")
 
 
+_BLANKS = re.compile(r"[^\S\n]+")
+
+
 def plain(text: str) -> str:
     """Narrow, composed, in lower case, blanks squeezed; line breaks stay as marks."""
+    if text.isascii() and text.isprintable():
+        return _BLANKS.sub(" ", text.lower()).strip()
     x = unicodedata.normalize("NFKC", text).casefold().replace("ß", "ss")
-    return re.sub(r"[^\S\n]+", " ", "".join(c for c in x if unicodedata.category(c) != "Cf")).strip()
+    return _BLANKS.sub(" ", x if x.isprintable() else "".join(c for c in x if unicodedata.category(c) != "Cf")).strip()
 
 
 def word_spans(x: str) -> list[tuple[int, int]]:
@@ -214,63 +223,96 @@ def best_path(cost: np.ndarray, change: np.ndarray, sizes: np.ndarray) -> np.nda
     return path
 
 
+def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """First and end places of the words of a plain text (see `word_spans`)."""
+    spans = word_spans(text)
+    return np.array([a for a, _ in spans], int), np.array([b for _, b in spans], int)
+
+
 def runs_of(texts: list[str], trees: Trees, neutral: set[str]) -> list[list[tuple[str, int, int, float]]]:
     """Per text its runs (language, first word, words, confidence). Words that are neutral, and everything that is no word,
-    open no run; a text without other words has none."""
+    open no run; a text without other words has none. Every word from the first that isn't neutral on is in one run.
+
+    All texts are worked on at once: they are joined by line breaks, which no word crosses, and places of words, marks and
+    bytes are looked up in arrays of the joined text.
+    """
     out: list[list[tuple[str, int, int, float]]] = [[] for _ in texts]
-    spans, keep = [], []
     plains = [plain(t) for t in texts]
-    for k, x in enumerate(plains):
-        s = word_spans(x)
-        if any(x[a:b] not in neutral for a, b in s):
-            keep.append(k)
-            spans.append(s)
-    if not keep:
+    joined = "\n" + "\n".join(plains)
+    lo, hi = _words(joined)
+    if not len(lo):
+        return out
+    heavy = np.array([joined[a:b] not in neutral for a, b in zip(lo.tolist(), hi.tolist(), strict=True)])
+    ends = np.cumsum([len(x) + 1 for x in plains])
+    of = np.searchsorted(ends, lo, side="right")
+    told = np.bincount(of[heavy], minlength=len(texts)) > 0
+    use = told[of]
+    lo, hi, heavy, of = lo[use], hi[use], heavy[use], of[use]
+    if not len(lo):
         return out
+    # the texts that are told, one after another, as bytes; where each character of the joined text begins in them
+    keep = np.flatnonzero(told)
     data, start, raw = _bytes([plains[k] for k in keep])
-    bits = trees.code_lengths(data, start).astype(np.float64)
-    total = np.concatenate([np.zeros((1, bits.shape[1])), np.cumsum(bits, 0)])
-    cost, change, sizes, off = [], [], [], 0
-    for k, s, r in zip(keep, spans, raw, strict=True):
-        x = plains[k]
-        place = np.concatenate([[0], np.cumsum([len(c.encode()) for c in x])]) + off + 1
-        end = 0
-        for a, b in s:
-            c = total[place[b]] - total[place[a]]
-            cost.append(np.zeros_like(c) if x[a:b] in neutral else c - c.min())
-            change.append(SWITCH_AT_MARK if a and re.search(r"[^\w\s,'’、，]", x[end:a]) or "\n" in x[end:a] else SWITCH)
-            end = b
-        sizes.append(len(s))
-        off += len(r)
-    cost, sizes = np.array(cost), np.array(sizes)
-    path = best_path(cost, np.array(change), sizes)
-    at = 0
-    for k, s in zip(keep, spans, strict=True):
-        p, c, x = path[at : at + len(s)], cost[at : at + len(s)], plains[k]
-        at += len(s)
-        heavy = [j for j, (a, b) in enumerate(s) if x[a:b] not in neutral]
-        lo = heavy[0]
-        for j, nxt in zip(heavy, [*heavy[1:], None], strict=True):
-            if nxt is None or p[nxt] != p[lo]:
-                own = c[lo : j + 1].sum(0)
-                share = np.exp2(-np.clip(own - own.min(), 0, 60) / 3)
-                out[k].append((LANGUAGES[p[lo]], lo, j + 1 - lo, float(share[p[lo]] / share.sum())))
-                lo = nxt
-        if len(out[k]) > 1:
-            out[k] = _merged(out[k])
+    begin = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    chars = np.array([len(plains[k]) + 1 for k in keep])
+    shift = np.zeros(len(texts), int)
+    shift[keep] = np.concatenate([[0], np.cumsum(chars)[:-1]]) - (ends[keep] - chars)
+    total = np.zeros((len(data) + 1, len(LANGUAGES)))
+    np.cumsum(trees.code_lengths(data, start), 0, dtype=np.float64, out=total[1:])
+    cost = total[begin[hi + shift[of]]] - total[begin[lo + shift[of]]]
+    cost = np.where(heavy[:, None], cost - cost.min(1, keepdims=True), 0.0)
+    marks = np.zeros(len(joined) + 1, int)
+    marks[[m.start() + 1 for m in _MARK.finditer(joined)]] = 1
+    marks = marks.cumsum()
+    before = np.concatenate([[0], hi[:-1]])
+    change = np.where(marks[lo] > marks[before], SWITCH_AT_MARK, SWITCH)
+    sizes = np.bincount(of, minlength=len(texts))[keep]
+    path = best_path(cost, change, sizes)
+
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    at = np.flatnonzero(heavy)
+    opens = np.ones(len(at), bool)
+    opens[1:] = (path[at[1:]] != path[at[:-1]]) | (of[at[1:]] != of[at[:-1]])
+    heads = at[opens]
+    tails = np.append(at[np.flatnonzero(opens)[1:] - 1], at[-1]) + 1
+    sums = np.concatenate([np.zeros((1, cost.shape[1])), np.cumsum(cost, 0)])
+    sure = _confidence(sums[tails] - sums[heads], path[heads])
+    place = first[np.searchsorted(keep, of[heads])]
+    for text, lang, a, b, c, f in zip(of[heads].tolist(), path[heads].tolist(), heads.tolist(), tails.tolist(), sure.tolist(), place.tolist(), strict=True):
+        out[text].append((lang, a - f, b - a, c))
+    for text, f in zip(keep.tolist(), first.tolist(), strict=True):
+        if len(out[text]) > 1:
+            out[text] = _merged(out[text], sums[f:])
+        out[text] = [(LANGUAGES[r[0]], *r[1:]) for r in out[text]]
     return out
 
 
-def _merged(runs: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
-    """Runs without those that no language explains better than the others together; neighbours of one language are one."""
-    sure = [r for r in runs if r[3] >= 0.5] or [max(runs, key=lambda r: r[3])]
-    out = [sure[0]]
-    for r in sure[1:]:
-        if r[0] == out[-1][0]:
-            a = out.pop()
-            r = (a[0], a[1], r[1] + r[2] - a[1], max(a[3], r[3]))
-        out.append(r)
-    return out
+def _confidence(bits: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """Share of the language among all, bits (runs x languages) weighing as 2^(-bits / TEMPERATURE)."""
+    share = np.exp2(-np.clip(bits - bits.min(1, keepdims=True), 0, 60) / TEMPERATURE)
+    return share[np.arange(len(lang)), lang] / share.sum(1)
+
+
+def _merged(runs: list[tuple[int, int, int, float]], sums: np.ndarray) -> list[tuple[int, int, int, float]]:
+    """Runs of one text (language, first word, words, confidence) where those that no language explains better than the
+    others together have gone to a neighbour, the one whose language their words cost less, and neighbours of one language
+    are one. Words are lost to none; confidences are those of the whole runs. `sums` are running costs of the words."""
+    bits = lambda a, b: sums[b] - sums[a]
+    sure = [k for k, r in enumerate(runs) if r[3] >= 0.5] or [max(range(len(runs)), key=lambda k: runs[k][3])]
+    langs = []
+    for k, (lang, a, n, _) in enumerate(runs):
+        if k not in sure:
+            near = [max((j for j in sure if j < k), default=None), min((j for j in sure if j > k), default=None)]
+            lang = min((runs[j][0] for j in near if j is not None), key=lambda x: bits(a, a + n)[x])
+        langs.append(lang)
+    out: list[tuple[int, int, int]] = []
+    for lang, (_, a, n, _) in zip(langs, runs, strict=True):
+        if out and out[-1][0] == lang:
+            out[-1] = (lang, out[-1][1], a + n - out[-1][1])
+        else:
+            out.append((lang, a, n))
+    lang, a, n = (np.array(x) for x in zip(*out, strict=True))
+    return [(*r, c) for r, c in zip(out, _confidence(sums[a + n] - sums[a], lang).tolist(), strict=True)]
 
 
 def primary(lang):
@@ -280,28 +322,28 @@ def primary(lang):
 
 
 def sample(rows: DataFrame, text: str, lang: str, per_language: int = FIT_ROWS) -> list:
-    """Up to `per_language` distinct labelled texts of each language by hash order, after thinning large languages by hash."""
-    x = rows.select(F.col(text).alias("text"), primary(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isin(LANGUAGES) & (F.length("text") <= 2_000))
-    n = {r["lang"]: r["count"] for r in x.distinct().groupBy("lang").count().collect()}
+    """Up to `per_language` distinct labelled texts of each language, by hash order, of up to FIT_CHARS characters.
+
+    Languages are counted once; texts beyond twice the wanted share of their language by hash are thinned before the
+    shuffle, and one window over (language, hash) takes the first of each."""
+    x = rows.select(F.col(text).alias("text"), primary(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isin(LANGUAGES) & (F.length("text") <= FIT_CHARS))
     h = F.xxhash64("text", F.lit(1))
-    chance = F.create_map(*[F.lit(v) for k, m in n.items() for v in (k, min(1.0, 2 * per_language / m))]) if n else F.lit(None)
+    # distinct hashes stand for distinct texts in the counts, which only set how much is thinned
+    n = {r["lang"]: r["n"] for r in x.groupBy("lang").agg(F.approx_count_distinct(h, 0.02).alias("n")).collect()}
     if not n:
         return []
+    chance = F.create_map(*[F.lit(v) for k, m in n.items() for v in (k, min(1.0, 2 * per_language / m))])
     # copies of a text share their hash, so thinning before the copies go keeps the same texts
-    thin = cut(x.withColumn("h", h).where(F.pmod(F.col("h"), F.lit(1_000_003)) < chance[F.col("lang")] * 1_000_003).distinct())
-    parts = [thin.where(F.col("lang") == k).orderBy("h", "text").limit(per_language) for k in sorted(n)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("text", "lang").collect()
+    thin = x.withColumn("h", h).where(F.pmod(F.col("h"), F.lit(1_000_003)) < chance[F.col("lang")] * 1_000_003).distinct()
+    return first_by(thin, ["lang"], ["h", "text"], per_language).orderBy("lang", "h", "text").select("text", "lang").collect()
 
 
 def language_runs(rows: DataFrame, key: str, text: str, lang: str, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Rows (key, declared, run_no, lang, first_word, words, confidence, runs): one a run of one language of each text.
 
     Per language, variable-order context trees over bytes, with escapes by the number of kinds of bytes seen, are fitted
-    on at most `fit_rows` distinct labelled texts per declared language (relabelled first, since labels may be wrong and texts
-    mixed) and then frozen. Code lengths of every byte in every language are exact; words take the cheapest languages
+    on at most `fit_rows` distinct labelled texts of up to FIT_CHARS characters per declared language (relabelled first,
+    since labels may be wrong and texts mixed) and then frozen. Code lengths of every byte in every language are exact; words take the cheapest languages
     under a price for changes, less at separators. All texts are read whole, whatever the sample.
 
     Null, blank and wordless texts have no runs; a null or unknown declared language doesn't matter for the result; words
@@ -325,11 +367,9 @@ def language_runs(rows: DataFrame, key: str, text: str, lang: str, fit_rows: int
                 hi = max(lo + 1, int(np.searchsorted(chars, (chars[lo - 1] if lo else 0) + 100_000)))
                 part = pdf.iloc[lo:hi]
                 lo = hi
-                rows_out = [
-                    (k, d, j, *r, len(rs))
-                    for k, d, rs in zip(part["key"], part["declared"], runs_of(part["text"].tolist(), trees, neutral), strict=True)
-                    for j, r in enumerate(rs)
-                ]
+                code, distinct = pd.factorize(part["text"])  # copies are read once
+                runs = runs_of(distinct.tolist(), trees, neutral)
+                rows_out = [(k, d, j, *r, len(runs[c])) for k, d, c in zip(part["key"], part["declared"], code, strict=True) for j, r in enumerate(runs[c])]
                 yield pd.DataFrame(rows_out, columns=["key", "declared", "run_no", "lang", "first_word", "words", "confidence", "runs"])
 
     schema = f"key {kinds['key']}, declared string, run_no int, lang string, first_word int, words int, confidence double, runs int"

@@ -160,3 +160,33 @@ def test_areas_count_long_documents_in_full(spark, monkeypatch):
     monkeypatch.setattr(topics, "pooled_log", lambda n: seen.append(n.sum()) or real(n))
     topics.areas(docs, "doc_id", "text", labels, "area", rounds=1)
     assert len(seen) == 1 and abs(seen[0] - 520 * 3) < 1e-2
+
+
+def test_unsure_runs_go_to_a_neighbour():
+    """Every word from the first that is told on is in one run, also where a run in the middle is unsure."""
+    rng = np.random.default_rng(7)
+    cost = rng.uniform(0, 30, (9, len(languages.LANGUAGES)))
+    sums = np.concatenate([np.zeros((1, cost.shape[1])), np.cumsum(cost, 0)])
+    got = languages._merged([(0, 0, 3, 0.9), (1, 3, 2, 0.3), (2, 5, 4, 0.8)], sums)
+    assert sum(n for _, _, n, _ in got) == 9 and [a for _, a, _, _ in got] == list(np.cumsum([0] + [n for _, _, n, _ in got])[:-1])
+    mid = cost[3:5].sum(0)
+    assert [r[0] for r in got] == [0, 2] and got[0][2] == (5 if mid[0] < mid[2] else 3)
+    for lang, a, n, c in got:
+        own = cost[a : a + n].sum(0)
+        share = np.exp2(-np.clip(own - own.min(), 0, 60) / languages.TEMPERATURE)
+        assert math.isclose(c, share[lang] / share.sum())
+    # an unsure run between two of one language leaves one run, and the only run stays whatever its confidence
+    assert [r[:3] for r in languages._merged([(4, 0, 2, 0.9), (1, 2, 1, 0.2), (4, 3, 6, 0.9)], sums)] == [(4, 0, 9)]
+    assert languages._merged([(4, 0, 2, 0.1), (1, 2, 7, 0.2)], sums)[0][:3] == (1, 0, 9)
+
+
+def test_runs_in_any_batch_are_those_of_single_texts():
+    texts = [t for ts in TEXTS.values() for t in ts]
+    langs = [x for x, ts in TEXTS.items() for _ in ts]
+    trees, neutral = languages.fit(texts, langs)
+    odd = ["", "  ", "♪ 4K", "x\ny", "the glass bottle | el sonido de la botella — ガラスの瓶をたたく音", "Ｔｈｅ　ＧＬＡＳＳ", "e\u0301l gato\u200b", "a" * 3000]
+    whole = languages.runs_of(texts + odd, trees, neutral)
+    for t, r in zip(texts + odd, whole, strict=True):
+        one = languages.runs_of([t], trees, neutral)[0]
+        assert [x[:3] for x in one] == [x[:3] for x in r] and np.allclose([x[3] for x in one], [x[3] for x in r])
+    assert [x[0] for x in whole[len(texts) + 4]] == ["en", "es", "ja"]
