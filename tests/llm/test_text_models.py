@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from susurrus.llm import languages, topics
@@ -190,3 +191,39 @@ def test_runs_in_any_batch_are_those_of_single_texts():
         one = languages.runs_of([t], trees, neutral)[0]
         assert [x[:3] for x in one] == [x[:3] for x in r] and np.allclose([x[3] for x in one], [x[3] for x in r])
     assert [x[0] for x in whole[len(texts) + 4]] == ["en", "es", "ja"]
+
+
+def test_areas_hidden_labels_and_a_bounded_sample(spark):
+    """Recall and precision on documents whose labels were hidden, with the rounds on a sample of the documents too."""
+    docs, truth = corpus(800, 3)
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, a) for i in range(200) for a in truth[i]], "doc_id long, area string")
+    for em_rows in (1_000_000, 300):
+        got = {(r.doc_id, r.area) for r in topics.areas(df, "doc_id", "text", labels, "area", "lang", em_rows=em_rows).collect()}
+        want = {(i, a) for i, xs in truth.items() for a in xs}
+        hidden = lambda x: {y for y in x if y[0] >= 200}
+        hit = len(hidden(got) & hidden(want))
+        assert hit / len(hidden(want)) > 0.95 and hit / len(hidden(got)) > 0.95
+
+
+def test_every_common_language_has_its_weights(spark):
+    """More than six languages, each with its own words for the areas."""
+    rng = random.Random(4)
+    nouns = {(lang, a): [f"{a}{lang}{k}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(6)] for lang in range(8) for a in ("tap", "brush")}
+    docs, truth = [], {}
+    for i in range(960):
+        lang, areas = i % 8, [[], ["tap"], ["brush"]][i // 8 % 3]
+        s = [f"{rng.choice(nouns[lang, a])} la{'xyzuvwqp'[lang]} {rng.choice(nouns[lang, a])}." for a in areas for _ in range(4)] + [f"no{'xyzuvwqp'[lang]} da{'xyzuvwqp'[lang]}."] * 3
+        docs.append((i, " ".join(s), "abcdefgh"[lang] * 2))
+        truth[i] = set(areas)
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, a) for i in range(480) for a in truth[i]], "doc_id long, area string")
+    got = {}
+    for r in topics.areas(df, "doc_id", "text", labels, "area", "lang").collect():
+        got.setdefault(r.doc_id, set()).add(r.area)
+    assert sum(got.get(i, set()) == truth[i] for i in range(480, 960)) > 0.95 * 480
+
+
+def test_long_tags_are_markup(spark):
+    df = spark.createDataFrame([(f"<a href='{'x' * 5000}'>One tap. </a>Two<br>Three",)], "t string")
+    assert [x.strip() for x in df.select(topics.sentences(F.col("t")).alias("s")).first().s if x.strip()] == ["One tap.", "Two", "Three"]
