@@ -12,7 +12,14 @@ MIC_WORDS = ["mic", "mics", "microphone", "microphones"]
 COLOURS = ["red", "blue", "green", "pink", "purple", "black", "white", "yellow", "orange", "teal", "amber", "golden", "silver", "metallic", "glittery"]
 #: Tool materials by keyword, first hit wins; "metal tool" otherwise.
 TOOL_MATERIALS = [("wooden tool", ["bamboo", "wooden", "wood"]), ("metal tool", ["metal", "metallic", "spring", "steel"]), ("plastic tool", ["plastic"]), ("cotton tool", ["cotton", "fluffy", "swab"]), ("silicone tool", ["silicone", "rubber"])]
+#: Names of ear picks; swabs; brushes by containment; the ear as a receiver and what tells that it is a model.
 EAR_TOOLS = ["ear pick", "earpick", "ear picks", "earpicks", "ear stick", "ear cleaner", "ear cleaning"]
+SWABS = ["cotton swab", "cotton tip"]
+BRUSHES = ["paint brush", "makeup brush", "hairbrush"]
+EARS = ["ear", "ears", "left ear", "right ear", "ear canal", "eardrum"]
+EARPHONES = ["earpod", "earpods", "earphone", "earphones", "earbud", "earbuds", "earphone mic"]
+EAR_MODEL = r"(?i)\b(silicone|binaural|3dio|mannequin|dummy head|ear model|ear replica|ear-shaped)\b"
+EAR_FORMS = [("glass ear", ["crystal ear"]), ("wooden ear", ["wooden ear"]), ("silicone ear", ["dummy head", "wooden head"])]
 #: Reasons of a failed run by needle, first hit wins; "unknown" otherwise.
 FAILURES = [
     ("rate_limit", ["rate limit", "too many requests", "http 429", "status 429", "quota exceeded"]),
@@ -81,13 +88,10 @@ def group_id(prefix: str, *parts: Column) -> Column:
 
 
 def singular(word: Column) -> Column:
-    """Naive singular: ies to y, es and s dropped (not of ss)."""
-    return (
-        F.when(word.endswith("ies") & (F.length(word) > 3), F.concat(F.substring(word, F.lit(1), F.length(word) - 3), F.lit("y")))
-        .when(word.endswith("es") & (F.length(word) > 3), F.substring(word, F.lit(1), F.length(word) - 2))
-        .when(word.endswith("s") & ~word.endswith("ss") & (F.length(word) > 2), F.substring(word, F.lit(1), F.length(word) - 1))
-        .otherwise(word)
-    )
+    """Naive singular: ies to y (of words longer than that), es and s dropped (not of ss); no word becomes empty."""
+    cut = lambda n, end="": F.concat(F.substring(word, F.lit(1), F.length(word) - n), F.lit(end))
+    longer = lambda end: word.endswith(end) & (F.length(word) > len(end))
+    return F.when(longer("ies"), cut(3, "y")).when(longer("es"), cut(2)).when(longer("s") & ~word.endswith("ss"), cut(1)).otherwise(word)
 
 
 def without_colours(x: Column) -> Column:
@@ -110,19 +114,36 @@ def first_hit(x: Column, table: list[tuple[str, list[str]]], default: str) -> Co
 
 
 def tool(x: Column) -> Column:
-    """Tools of the ear-pick family by material; tweezers, spoolies, swabs and brushes in one form."""
+    """Tools of the ear-pick family by material; tweezers, spoolies, swabs and brushes in one form, wherever the word stands."""
+    brush = x.endswith(" brush") | x.endswith(" brushes") | _holds(x, BRUSHES)
     return (
         F.when(_holds(x, EAR_TOOLS), first_hit(x, TOOL_MATERIALS, "metal tool"))
-        .when(F.contains(x, F.lit("tweezer")), "metal tool").when(F.contains(x, F.lit("spoolie")), "plastic tool")
-        .when(x.isin("cotton swab", "cotton tip", "cotton tips"), "cotton swab")
-        .when(x.endswith(" brush") | x.endswith(" brushes") | x.isin("paint brush", "makeup brush", "hairbrush"), F.when(F.contains(x, F.lit("wood")), "wooden brush").otherwise("brush"))
+        .when(_holds(x, ["tweezer"]), "metal tool").when(_holds(x, ["spoolie"]), "plastic tool").when(_holds(x, SWABS), "cotton swab")
+        .when(brush, F.when(_holds(x, ["wood"]), "wooden brush").otherwise("brush"))
+        .when(_holds(x, ["fork"]) & _holds(x, ["brush"]), "brush")
         .otherwise(x)
     )
 
 
-def noun_phrase(x: Column) -> Column:
-    """noun, colours dropped, tools and wax in one form, noun again; `fail` stays."""
-    t = F.regexp_replace(let(without_colours(noun(x)), tool), "sealing wax", "wax")
+def receiver(x: Column, context: Column) -> Column:
+    """The ear that a sound goes to, told from the words around (`context`): a model ear, else a microphone for earphones."""
+    around = F.coalesce(context, F.lit(""))
+    model = around.rlike(EAR_MODEL)
+    hinted = model | _holds(F.lower(around), ["ear cleaning", "silicone"])
+    forms = x
+    for name, needles in reversed(EAR_FORMS):
+        forms = F.when(_holds(x, needles), name).otherwise(forms)
+    return (
+        F.when(x.isin(EARS) & hinted, F.when(x == "ears", "silicone ears").otherwise("silicone ear"))
+        .when(x.isin(EARPHONES), F.when(model, "silicone ear").otherwise("mic"))
+        .otherwise(forms)
+    )
+
+
+def noun_phrase(x: Column, *context: Column) -> Column:
+    """noun, colours dropped, tools, ears and wax in one form, noun again; `fail` stays. `context` are the texts around."""
+    around = F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in context]) if context else F.lit("")
+    t = F.regexp_replace(let(let(without_colours(noun(x)), tool), lambda t: receiver(t, around)), "sealing wax", "wax")
     recorder = lambda t: F.when(F.contains(t, F.lit("recorder")) & ~F.contains(t, F.lit("mic")), "mic").otherwise(none_if_empty(t))
     return F.when(is_fail(x), "fail").otherwise(let(noun(t), recorder))
 
@@ -179,3 +200,44 @@ def is_blocked(label: Column) -> Column:
 
 def is_parallel(label: Column) -> Column:
     return _holds(F.coalesce(label, F.lit("")), ["+", "&"])
+
+
+#: States of an annotation that does not count as finished.
+NOT_FINISHED = ["pending", "skip", "skipped", "invalid", "excluded"]
+
+
+def is_completed(status: Column, subject: Column, verb: Column) -> Column:
+    """Whether an annotation counts: a state other than those in NOT_FINISHED (none will do), a subject and a verb."""
+    return ~F.coalesce(audit_text(status), F.lit("")).isin(NOT_FINISHED) & audit_text(subject).isNotNull() & audit_text(verb).isNotNull()
+
+
+#: Nouns that name a material though no alias does, and nouns that never do.
+MATERIAL_CORES = {"ice": "glass", "styrofoam": "foam_solid", "silicone": "rubber", "chalk": "ceramic", "marble": "stone", "granite": "stone", "beeswax": "wax", "cardboard": "paper"}
+NO_LEAK = ["sponge", "wooden surface"]
+
+
+def leaked_material(core: Column, aliases: dict[str, str], cores: dict[str, str] | None = None, allowed: list[str] | None = None) -> Column:
+    """struct(reason, material) that a noun gives away, null if nothing: none of `allowed`; the word "material" itself
+    (without a material); an alias as a whole; a noun of `cores`; an alias of several words inside, the longest first; one
+    of its words or its singular as an alias or a noun of `cores`, the first hit in reading order."""
+    cores, allowed = MATERIAL_CORES if cores is None else cores, NO_LEAK if allowed is None else allowed
+    lookup = lambda d: F.create_map(*[F.lit(v) for kv in d.items() for v in kv]) if d else F.create_map().cast("map<string,string>")
+    hit = lambda reason, of, m: F.struct(F.concat(F.lit(f"{reason}:"), of).alias("reason"), m.alias("material"))
+    by_alias, by_core = lookup(aliases), lookup(cores)
+
+    def told(text: Column) -> Column:
+        words = F.split(text, " ")
+        form = lambda w: F.coalesce(
+            F.when(F.try_element_at(by_alias, w).isNotNull(), hit("token_alias", w, F.try_element_at(by_alias, w))),
+            F.when(F.try_element_at(by_core, w).isNotNull(), hit("extra_token", w, F.try_element_at(by_core, w))),
+        )
+        inner = [F.when(F.contains(text, F.lit(k)), hit("subphrase_alias", F.lit(k), F.lit(aliases[k]))) for k in sorted(aliases, key=lambda k: -len(k)) if " " in k]
+        each = F.filter(F.flatten(F.transform(words, lambda w: F.array(form(w), form(singular(w))))), lambda f: f.isNotNull())
+        return F.when(text.isin(allowed), F.lit(None)).otherwise(F.coalesce(
+            F.when(F.array_contains(words, "material"), F.struct(F.lit("contains_word_material").alias("reason"), F.lit(None).cast("string").alias("material"))),
+            F.when(F.try_element_at(by_alias, text).isNotNull(), hit("exact_alias", text, F.try_element_at(by_alias, text))),
+            F.when(F.try_element_at(by_core, text).isNotNull(), hit("extra_core", text, F.try_element_at(by_core, text))),
+            *inner, F.get(each, 0),
+        ))
+
+    return let(phrase(core), told)

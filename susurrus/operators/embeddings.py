@@ -24,7 +24,7 @@ def centroids(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
-    """(n, mean, covariance) of the vectors of `df`; tasks return one sum and one product matrix, whatever their rows."""
+    """(n, mean, covariance) of the vectors of `df`; a task gives one sum and one product matrix, whatever its rows."""
     first = df.where(F.col(vector).isNotNull()).select(F.size(vector)).first()
     d = first[0] if first else 0
 
@@ -33,12 +33,14 @@ def moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
         for pdf in parts:
             x = np.stack([np.asarray(v, float) for v in pdf[vector] if v is not None and len(v) == d]) if len(pdf) else np.zeros((0, d))
             n, s, p = n + len(x), s + x.sum(0), p + x.T @ x
-        yield pd.DataFrame({"n": [n], "s": [s], "p": [p.reshape(-1)]})
-
-    rows = df.select(vector).mapInPandas(sums, "n long, s array<double>, p array<double>").collect()
-    n = sum(r["n"] for r in rows)
-    s = np.sum([r["s"] for r in rows], 0)
-    p = np.sum([r["p"] for r in rows], 0).reshape(d, d)
+        if n:
+            yield pd.DataFrame({"cells": [np.concatenate([[n], s, p.reshape(-1)])]})
+
+    # matrices of the tasks are added up by cell before the driver gets one of them
+    cells = df.select(vector).mapInPandas(sums, "cells array<double>").select(F.posexplode("cells").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).toPandas()
+    whole = np.zeros(1 + d + d * d)
+    whole[cells["k"].to_numpy()] = cells["x"].to_numpy()
+    n, s, p = int(whole[0]), whole[1 : d + 1], whole[d + 1 :].reshape(d, d)
     mean = s / max(n, 1)
     return n, mean, (p - n * np.outer(mean, mean)) / max(n - 1, 1)
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import cut
+
 
 def same(left: str, right: str, cols: list[str]):
     """Null-safe equality of the columns `cols` of two aliased sides."""
@@ -53,3 +55,26 @@ def neighbour(df: DataFrame, keys: list[str], bucket: str, order: list[str], val
     x = df.alias("l").join(edges.alias("r"), same("l", "r", [*keys, bucket])).select("l.*", "r.__over")
     inside = move(F.struct(F.col(value).alias("v"))).over(within)
     return x.withColumn("__in", inside).withColumn(out, F.when(F.col("__in").isNull(), F.col("__over")).otherwise(F.col("__in.v"))).drop("__in", "__over")
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+    """Adds `out`: the 0-based place of a row among those of the same `keys` (nulls are a key), in the order `order`.
+
+    Rows are sorted over ranges of (keys, order), as for a global sort, and written once; places follow from the places
+    in a range and the sizes of the ranges before, so a key that holds a third of all rows is spread over ranges. Ties in
+    `order` get an arbitrary order. An empty table gives an empty table.
+    """
+    parts = cut(df.repartitionByRange(*keys, *order).withColumn("__num_p", F.spark_partition_id()))
+    local = F.row_number().over(Window.partitionBy("__num_p", *keys).orderBy(*order)) - 1
+    if not keys:
+        key, per = F.struct(F.lit(0)), parts.groupBy("__num_p").agg(F.count("*").alias("__num_n"))
+    else:
+        key, per = F.struct(*keys), parts.groupBy("__num_p", *keys).agg(F.count("*").alias("__num_n"))
+    # one row a range: its first key, and its last with the rows of it; only a first key can have rows in ranges before
+    edges = cut(per.groupBy("__num_p").agg(F.min(key).alias("__num_first"), F.max(F.struct(key.alias("k"), F.col("__num_n").alias("n"))).alias("__num_last")))
+    asks = edges.select("__num_p", F.col("__num_first").alias("__num_k"), F.lit(0).cast("long").alias("__num_n"), F.lit(0).alias("__num_says"))
+    says = edges.select("__num_p", F.col("__num_last.k").alias("__num_k"), F.col("__num_last.n").alias("__num_n"), F.lit(1).alias("__num_says"))
+    before = Window.partitionBy("__num_k").orderBy("__num_p", "__num_says").rowsBetween(Window.unboundedPreceding, -1)
+    known = asks.unionByName(says).withColumn("__num_off", F.coalesce(F.sum("__num_n").over(before), F.lit(0))).where("__num_says = 0").select("__num_p", "__num_k", "__num_off")
+    x = parts.withColumn("__num_at", local).withColumn("__num_key", key).alias("l").join(F.broadcast(known).alias("r"), same("l", "r", ["__num_p"])).select("l.*", "r.__num_k", "r.__num_off")
+    return x.withColumn(out, F.col("__num_at") + F.when(F.col("__num_key").eqNullSafe(F.col("__num_k")), F.col("__num_off")).otherwise(0)).drop("__num_p", "__num_at", "__num_key", "__num_k", "__num_off")

@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import stripped
+from .prefix import numbered
+
 
 def creator_ids(df: DataFrame, author: str) -> DataFrame:
-    """Rows (author, creator_id): authors in order as creator_01, creator_02, ... Only the distinct authors are numbered."""
-    names = df.where(F.trim(F.col(author)) != "").select(author).distinct()
-    return names.select(author, F.concat(F.lit("creator_"), F.format_string("%02d", F.row_number().over(Window.orderBy(author)))).alias("creator_id"))
+    """Rows (author, creator_id): trimmed authors in order as creator_01, creator_02, ... (join with `stripped` authors).
+    Only the distinct authors are numbered, over ranges of their order; null and blank ones name nobody."""
+    names = df.select(stripped(F.col(author)).alias(author)).where(F.col(author) != "").distinct()
+    at = numbered(names, [], [author], "__place")
+    return at.select(author, F.concat(F.lit("creator_"), F.format_string("%02d", F.col("__place") + 1)).alias("creator_id"))
 
 
 def split_leaks(df: DataFrame, split: str, key: str) -> DataFrame:

@@ -4,42 +4,79 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+from ..sources.tables import cut
+from .prefix import numbered, same
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, at: list[float]) -> DataFrame:
+    """Rows (keys, q): exact percentiles with linear interpolation, one array entry a value of `at`. Null values don't count.
+
+    From the places of the values in their key (`numbered`), of which only the two beside each percentile are kept: no task
+    holds a key, whatever its number of rows."""
+    x = cut(numbered(df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v")), keys, ["__v"], "__k"))
+    n = x.groupBy(*keys).agg(F.count("*").alias("__n"))
+    ends = lambda q: F.array(F.floor(F.lit(q) * (F.col("__n") - 1)), F.ceil(F.lit(q) * (F.col("__n") - 1)))
+    places = n.select(*keys, "__n", F.explode(F.array_distinct(F.flatten(F.array(*[ends(q) for q in at])))).alias("__k"))
+    near = x.alias("l").join(F.broadcast(places).alias("r"), same("l", "r", [*keys, "__k"])).select(*[F.col(f"l.{k}").alias(k) for k in keys], "r.__n", "l.__k", "l.__v")
+    held = near.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__k", "__v"))).alias("__m"), F.max("__n").alias("__n"))
+
+    def one(q: float) -> Column:
+        place = F.lit(q) * (F.col("__n") - 1)
+        low = F.element_at("__m", F.floor(place))
+        return low + (F.element_at("__m", F.ceil(place)) - low) * (place - F.floor(place))
+
+    return held.select(*keys, F.array(*[one(q) for q in at]).alias("q"))
+
 
 def robust_scale(df: DataFrame, keys: list[str], value: str, out: str = "scaled", eps: float = 1e-8) -> DataFrame:
-    """Adds `out`: (x - median) / (interquartile range + eps) per key, by exact linear percentiles."""
-    q = df.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"))
-    return df.join(q, keys).withColumn(out, (F.col(value) - F.col("__q")[1]) / (F.col("__q")[2] - F.col("__q")[0] + eps)).drop("__q")
+    """Adds `out`: (x - median) / (interquartile range + eps) per key (null keys are one), by exact linear percentiles."""
+    q = quantiles(df, keys, value, [0.25, 0.5, 0.75]).withColumnRenamed("q", "__q")
+    x = df.alias("l").join(F.broadcast(q).alias("r"), same("l", "r", keys), "left").select("l.*", "r.__q")
+    return x.withColumn(out, (F.col(value) - F.col("__q")[1]) / (F.col("__q")[2] - F.col("__q")[0] + eps)).drop("__q")
+
 
+def sliding(df: DataFrame, keys: list[str], order: list[str], value: str, window: int, step: int, eps: float = 1e-8) -> DataFrame:
+    """Rows (keys, first, center, mean, std) of every `step`-th full window of `window` rows; std = sqrt(variance + eps).
+    `first` is the 0-based row in its key, `center` the row in the middle, (first + end) // 2.
 
-def sliding(df: DataFrame, keys: list[str], order: str, value: str, window: int, step: int, eps: float = 1e-8) -> DataFrame:
-    """Rows (keys, first, mean, std) of every `step`-th full window of `window` rows; std = sqrt(variance + eps). `first`
-    is the 0-based row in its key."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    ahead = w.rowsBetween(0, window - 1)
-    x = df.select(*keys, (F.row_number().over(w) - 1).alias("first"), F.avg(value).over(ahead).alias("mean"), F.sqrt(F.var_pop(value).over(ahead) + eps).alias("std"), F.count(value).over(ahead).alias("n"))
-    return x.where((F.col("n") == window) & (F.col("first") % step == 0)).drop("n")
+    Rows are numbered over ranges of their order and each goes to the windows that hold it (window / step copies), which are
+    aggregated with a map-side combine: no task sorts or holds a key. `order` must be total within a key."""
+    x = numbered(df.select(*keys, *order, F.col(value).alias("__v")), keys, order, "__k")
+    least = F.greatest(F.lit(0), F.ceil((F.col("__k") - (window - 1)) / step))
+    x = x.where(least <= F.floor(F.col("__k") / step)).select(*keys, F.explode(F.sequence(least, F.floor(F.col("__k") / step))).alias("__w"), "__v")
+    y = x.groupBy(*keys, "__w").agg(F.avg("__v").alias("mean"), F.sqrt(F.var_pop("__v") + eps).alias("std"), F.count("__v").alias("n")).where(F.col("n") == window)
+    first = (F.col("__w") * step).cast("int")
+    return y.select(*keys, first.alias("first"), F.floor((2 * first + window) / 2).cast("int").alias("center"), "mean", "std")
 
 
 def merge_short(bounds: Column, least: int) -> Column:
-    """Boundaries (first, ..., last) without those closer than `least` to the one kept before or to the last."""
-    last = F.element_at(bounds, -1)
-    inner = F.slice(bounds, 2, F.greatest(F.size(bounds) - 2, F.lit(0)))
-    kept = F.aggregate(inner, F.slice(bounds, 1, 1), lambda acc, b: F.when(b - F.element_at(acc, -1) >= least, F.concat(acc, F.array(b))).otherwise(acc))
-    whole = F.when((F.size(kept) > 1) & (last - F.element_at(kept, -1) < least), F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
-    return F.concat(whole, F.array(last))
+    """Boundaries (first, ..., last), sorted and distinct, without inner ones closer than `least` to the one kept before;
+    the last always stays, so the last segment may be short."""
+    at = F.array_sort(F.array_distinct(bounds))
+
+    def merged(b: Column) -> Column:
+        inner = F.slice(b, 2, F.greatest(F.size(b) - 2, F.lit(0)))
+        kept = F.aggregate(inner, F.slice(b, 1, 1), lambda acc, x: F.when(x - F.element_at(acc, -1) >= least, F.concat(acc, F.array(x))).otherwise(acc))
+        return F.when(F.size(b) <= 2, b).otherwise(F.concat(kept, F.array(F.element_at(b, -1))))
+
+    return let(at, merged)
 
 
-def cut_segments(df: DataFrame, key: str, centers: str, bounds: str, start: str, end: str, gap: float, least: float) -> DataFrame:
+def cut_segments(df: DataFrame, key: str, centers, bounds: str, start: str, end: str, gap: float, least: float) -> DataFrame:
     """Rows (key, segment, start, end, kept): segments between boundaries (window numbers). A boundary lies halfway between
-    the centres beside it; inner edges shrink by half the gap; segments shorter than `least` are not kept."""
+    the centres beside it; inner edges shrink by half the gap; segments shorter than `least` are not kept. `centers` is an
+    array column, or a function from a window's number (0-based) to its centre."""
     n = F.size(bounds)
-    at = lambda k: (F.element_at(centers, F.element_at(bounds, k)) + F.element_at(centers, F.element_at(bounds, k) + 1)) / 2 + F.col(start)
-    x = df.select(key, centers, bounds, start, end, F.explode(F.sequence(F.lit(1), n - 1)).alias("k"))
-    a = F.when(F.col("k") == 1, F.col(start)).otherwise(at(F.greatest(F.col("k"), F.lit(2))) + gap / 2)
-    b = F.when(F.col("k") == n - 1, F.col(end)).otherwise(at(F.least(F.col("k") + 1, n - 1)) - gap / 2)
+    center = centers if callable(centers) else lambda k: F.element_at(centers, k + 1)
+    mid = lambda b: (center(b - 1) + center(b)) / 2 + F.col(start)
+    held = [] if callable(centers) else [centers]
+    x = df.select(key, *held, bounds, start, end, F.explode(F.sequence(F.lit(1), n - 1)).alias("k"))
+    a = F.when(F.col("k") == 1, F.col(start)).otherwise(mid(F.element_at(bounds, F.greatest(F.col("k"), F.lit(2)))) + gap / 2)
+    b = F.when(F.col("k") == n - 1, F.col(end)).otherwise(mid(F.element_at(bounds, F.least(F.col("k") + 1, n - 1))) - gap / 2)
     x = x.select(key, (F.col("k") - 1).alias("segment"), a.alias("start"), b.alias("end"))
     return x.withColumn("kept", F.col("end") - F.col("start") >= least)
 
@@ -131,14 +168,14 @@ def pelt_rbf(x: np.ndarray, penalty: float, least: int = 2) -> list[int]:
     return out[::-1]
 
 
-def change_points(df: DataFrame, key: str, order: str, features: list[str], penalty: float = 3.0, least: int = 5) -> DataFrame:
+def change_points(df: DataFrame, key: str, order: list[str], features: list[str], penalty: float = 3.0, least: int = 5) -> DataFrame:
     """Rows (key, segment, first, last): change points of the standardised features of each key.
 
     A key is standardised and searched as a whole in one task, whatever its rows: memory is linear in them, time up to
     quadratic where nothing changes. Rows with null features are left out.
     """
-    n = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
-    x = df.where(" and ".join(f"{f} is not null" for f in features)).select(key, *features, n.alias("row"))
+    known = df.where(" and ".join(f"`{f}` is not null" for f in features)).select(key, *order, *features)
+    x = numbered(known, [key], order, "row").select(key, *features, F.col("row").cast("int").alias("row"))
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row")

@@ -24,20 +24,28 @@ def parse_description(df: DataFrame, video: str, text: str) -> DataFrame:
     return first_by(rows, [video, "seconds"], ["pos"]).select(video, "pos", "time_str", "seconds", "title")
 
 
-def normalize(df: DataFrame, video: str, pos: str, mark: str, seconds: str, duration: str, bucket_seconds: int = 3_600) -> DataFrame:
+def normalize(df: DataFrame, video: str, pos: str, mark: str, seconds: str, duration: str, bucket_seconds: int = 3_600, strict: bool = True) -> DataFrame:
     """Adds `second` (from the mark, else the stored seconds), `corrected`, and `start`, `end`: rows of a video in order of
-    (second, pos), each ending where the next begins, the last at the greatest `duration` of the video, at least its start.
+    (second, pos), each ending where the next begins, the last at the duration of the track (the greatest `duration` of the
+    video).
 
-    Next starts are looked up within hours and carried over their edges, so no task sorts a whole video. Rows without any
-    second are left out; a null video is a video of its own.
+    A track that ends before its last row begins is refused: an error when read, or, if not `strict`, an `end` of null.
+    Rows without any second are left out if not `strict`, else they are an error. Next starts are looked up within hours
+    and carried over their edges, so no task sorts a whole video. A null video is a video of its own; a video without any
+    duration has no last end.
     """
     by_mark = seconds_of(F.col(mark))
-    rows = df.withColumn("second", F.coalesce(by_mark, F.col(seconds).try_cast("int"))).where("second is not null")
+    second = F.coalesce(by_mark, F.col(seconds).try_cast("int"))
+    if strict:
+        second = F.coalesce(second, F.raise_error(F.concat(F.lit("neither a time nor seconds: "), F.coalesce(F.col(mark).cast("string"), F.lit("null")))).cast("int"))
+    rows = df.withColumn("second", second).where("second is not null")
     rows = rows.withColumn("corrected", F.coalesce(by_mark != F.col(seconds), F.lit(False))).withColumn("start", F.col("second").cast("double"))
     ends = rows.groupBy(video).agg(F.max(F.col(duration).cast("double")).alias("__whole"))
     x = neighbour(rows.withColumn("__b", F.floor(F.col("second") / bucket_seconds)), [video], "__b", ["second", pos], "start", "__next")
     x = x.alias("l").join(ends.alias("r"), same("l", "r", [video])).select("l.*", "r.__whole")
-    return x.withColumn("end", F.coalesce("__next", F.greatest("__whole", "start"), "start")).drop("__b", "__next", "__whole")
+    end = F.coalesce("__next", "__whole")
+    early = F.raise_error(F.concat(F.lit("the track ends before its last row begins: "), F.coalesce(F.col(video).cast("string"), F.lit("null")))).cast("double") if strict else F.lit(None).cast("double")
+    return x.withColumn("end", F.when(end < F.col("start"), early).otherwise(end)).drop("__b", "__next", "__whole")
 
 
 def gaps(df: DataFrame, keys: list[str], start: str, end: str, bucket: float = 3_600.0) -> DataFrame:

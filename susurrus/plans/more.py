@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import times as T
 from ..operators import matching, timelines
-from ..sources.tables import shared_folder, table
+from ..operators.prefix import neighbour, numbered, same
+from ..sources.tables import cut, shared_folder, table
 from ..sources.writers import timeline_cells
 from ..streaming import incremental
-from .reference import r6
+from .reference import _DONE, r6
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -29,34 +30,31 @@ def query(sql: str | None = None):
     return add
 
 
-#: Material words of the query below; any alias table will do.
-MATERIAL_WORDS = {"wooden": "wood", "wood": "wood", "paper": "paper", "glass": "glass", "steel": "metal", "metal": "metal", "tin": "metal", "leather": "leather", "rubber": "rubber", "silk": "cloth", "velvet": "cloth", "felt": "cloth", "wool": "cloth", "clay": "clay"}
-ALLOWED = ["tin lid", "felt pad"]
+#: Material aliases of the query below; any alias table will do.
+MATERIAL_WORDS = {"wooden": "wood", "wood": "wood", "paper": "paper", "glass": "glass", "steel": "metal", "metal": "metal", "tin": "metal", "leather": "leather", "rubber": "rubber", "silk": "textile", "velvet": "textile", "felt": "textile", "wool": "textile", "clay": "clay", "sand paper": "paper", "salad bowl": "wood"}
 
 
-def leaked_material(core: Column, aliases: dict[str, str], allowed: list[str]) -> Column:
-    """The material that a core noun gives away: none if allowed, the word "material" itself, an alias as a whole, as
-    one of its words, or as the singular of one."""
-    table = F.create_map(*[F.lit(v) for kv in sorted(aliases.items()) for v in kv])
-    words = F.split(core, " ")
-    of = lambda w: F.coalesce(F.try_element_at(table, w), F.try_element_at(table, X.singular(w)))
-    hit = F.get(F.array_compact(F.transform(words, of)), 0)
-    return F.when(core.isin(allowed), None).when(F.array_contains(words, "material"), "material").otherwise(F.coalesce(F.try_element_at(table, core), hit))
-
-
-_WORDS = ", ".join(f"('{k}', '{v}')" for k, v in MATERIAL_WORDS.items())
-
-
-@query(rf"""
-WITH a(w, m) AS (VALUES {_WORDS}), c AS (SELECT group_id, lower(trim(alias)) AS core FROM noun_alias_v1),
-t AS (SELECT core, unnest(str_split(core, ' ')) AS w, unnest(range(1, len(str_split(core, ' ')) + 1)) AS k FROM c),
-s AS (SELECT *, CASE WHEN w LIKE '%ies' AND length(w) > 3 THEN substr(w, 1, length(w) - 3) || 'y' WHEN w LIKE '%es' AND length(w) > 3 THEN substr(w, 1, length(w) - 2) WHEN w LIKE '%s' AND w NOT LIKE '%ss' AND length(w) > 2 THEN substr(w, 1, length(w) - 1) ELSE w END AS one FROM t),
-h AS (SELECT core, arg_min(coalesce(a.m, b.m), k) AS m FROM s LEFT JOIN a ON a.w = s.w LEFT JOIN a b ON b.w = s.one WHERE coalesce(a.m, b.m) IS NOT NULL GROUP BY core)
-SELECT group_id, c.core, CASE WHEN c.core IN ('tin lid', 'felt pad') THEN NULL ELSE h.m END AS leaks FROM c LEFT JOIN h ON h.core = c.core""")
+@query(r"""
+WITH a(w, m) AS (VALUES ('wooden', 'wood'), ('wood', 'wood'), ('paper', 'paper'), ('glass', 'glass'), ('steel', 'metal'), ('metal', 'metal'), ('tin', 'metal'), ('leather', 'leather'), ('rubber', 'rubber'), ('silk', 'textile'), ('velvet', 'textile'), ('felt', 'textile'), ('wool', 'textile'), ('clay', 'clay'), ('sand paper', 'paper'), ('salad bowl', 'wood')),
+x(w, m) AS (VALUES ('ice', 'glass'), ('styrofoam', 'foam_solid'), ('silicone', 'rubber'), ('chalk', 'ceramic'), ('marble', 'stone'), ('granite', 'stone'), ('beeswax', 'wax'), ('cardboard', 'paper')),
+c AS (SELECT DISTINCT trim(regexp_replace(lower(v), '\s+', ' ', 'g')) AS core FROM (SELECT alias AS v FROM noun_alias_v1 UNION ALL SELECT object FROM train_label) WHERE trim(v) <> ''),
+t AS (SELECT core, unnest(str_split(core, ' ')) AS w, unnest(range(len(str_split(core, ' ')))) AS k FROM c),
+f AS (SELECT core, 2 * k AS p, w AS form FROM t UNION ALL
+  SELECT core, 2 * k + 1, CASE WHEN regexp_matches(w, '.ies$') THEN regexp_replace(w, 'ies$', 'y') WHEN regexp_matches(w, '.es$') THEN regexp_replace(w, 'es$', '') WHEN regexp_matches(w, '[^s]s$') THEN regexp_replace(w, 's$', '') ELSE w END FROM t),
+h AS (
+  SELECT core, 0 AS p, 'contains_word_material' AS reason, NULL AS material FROM t WHERE w = 'material' UNION ALL
+  SELECT core, 1, 'exact_alias:' || core, m FROM c JOIN a ON w = core UNION ALL SELECT core, 2, 'extra_core:' || core, m FROM c JOIN x ON w = core UNION ALL
+  SELECT core, 3 + 1 / length(w), 'subphrase_alias:' || w, m FROM c JOIN a ON contains(w, ' ') AND contains(core, w) UNION ALL
+  SELECT core, 10 + p, 'token_alias:' || form, m FROM f JOIN a ON w = form UNION ALL SELECT core, 10.5 + p, 'extra_token:' || form, m FROM f JOIN x ON w = form),
+b AS (SELECT core, reason, material FROM h QUALIFY row_number() OVER (PARTITION BY core ORDER BY p) = 1)
+SELECT core, CASE WHEN core NOT IN ('sponge', 'wooden surface') THEN reason END AS reason, CASE WHEN core NOT IN ('sponge', 'wooden surface') THEN material END AS material,
+  CASE WHEN reason IS NULL OR core IN ('sponge', 'wooden surface') THEN core END AS kept FROM c LEFT JOIN b USING (core)""")
 def core_leak(spark: SparkSession, d: str) -> DataFrame:
-    """Materials that noun cores give away."""
-    core = X.phrase(F.col("alias"))
-    return table(spark, d, "noun_alias_v1").select("group_id", core.alias("core"), leaked_material(core, MATERIAL_WORDS, ALLOWED).alias("leaks"))
+    """What tells the material of a noun, for every alias and every typed object, and the noun itself where nothing does."""
+    nouns = table(spark, d, "noun_alias_v1").select(F.col("alias").alias("v")).unionByName(table(spark, d, "train_label").select(F.col("object").alias("v")))
+    cores = nouns.select(X.phrase(F.col("v")).alias("core")).where("core is not null").distinct()
+    x = cores.select("core", X.leaked_material(F.col("core"), MATERIAL_WORDS).alias("hit"))
+    return x.select("core", "hit.reason", "hit.material", F.when(F.col("hit").isNull(), F.col("core")).alias("kept"))
 
 
 @query(r"""
@@ -148,13 +146,12 @@ def confidence_clamp(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "train_events").select("event_uid", X.confidence(F.col("stage3_confidence")).alias("confidence"))
 
 
-@query(r"""
-SELECT l.label_id FROM train_label l WHERE l.wav IS NOT NULL AND NOT EXISTS (SELECT 1 FROM manual_gt_example g WHERE g.wav = l.wav AND g.gt.verb IS NOT NULL AND g.annotation.status IN ('complete', 'completed', 'reviewed'))""")
+@query(rf"""
+SELECT l.label_id FROM train_label l WHERE l.wav IS NOT NULL AND NOT EXISTS (SELECT 1 FROM manual_gt_example g WHERE g.wav = l.wav AND {_DONE})""")
 def pending_clips(spark: SparkSession, d: str) -> DataFrame:
     """Clips without a finished annotation: what a resumed run still has to do."""
-    done = table(spark, d, "manual_gt_example").select("wav", F.col("gt.verb").alias("verb"), F.col("annotation.status").alias("status"))
-    good = F.col("verb").isNotNull() & F.col("status").isin("complete", "completed", "reviewed")
-    return incremental.pending(table(spark, d, "train_label").where("wav is not null").select("label_id", "wav"), done, "wav", good).select("label_id")
+    done = table(spark, d, "manual_gt_example").select("wav", X.is_completed(F.col("annotation.status"), F.col("gt.subject"), F.col("gt.verb")).alias("good"))
+    return incremental.pending(table(spark, d, "train_label").where("wav is not null").select("label_id", "wav"), done, "wav", F.col("good")).select("label_id")
 
 
 @query("SELECT user_id, event_id, event_type, round(value, 6) AS value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
@@ -184,9 +181,11 @@ WITH f AS (SELECT id AS video_id, event_uid, start_sec, coalesce(verb, '') AS ve
 SELECT event_uid, lag(verb) OVER w AS before, lead(verb) OVER w AS after, row_number() OVER w AS place, count(*) OVER (PARTITION BY video_id) AS events FROM f WINDOW w AS (PARTITION BY video_id ORDER BY start_sec, event_uid)""")
 def event_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """Each event with the verbs before and after it in its video."""
-    w = Window.partitionBy("id").orderBy("start_sec", "event_uid")
-    t = table(spark, d, "train_events").where("start_sec is not null").withColumn("verb", F.coalesce("verb", F.lit("")))
-    return t.select("event_uid", F.lag("verb").over(w).alias("before"), F.lead("verb").over(w).alias("after"), F.row_number().over(w).alias("place"), F.count("*").over(Window.partitionBy("id")).alias("events"))
+    t = table(spark, d, "train_events").where("start_sec is not null").select("id", "event_uid", "start_sec", F.coalesce("verb", F.lit("")).alias("verb"), F.floor(F.col("start_sec") / 3600).alias("hour"))
+    t = neighbour(neighbour(t, ["id"], "hour", ["start_sec", "event_uid"], "verb", "after"), ["id"], "hour", ["start_sec", "event_uid"], "verb", "before", ahead=False)
+    t = cut(numbered(t, ["id"], ["start_sec", "event_uid"], "place"))
+    n = t.groupBy("id").agg(F.count("*").alias("events"))
+    return t.alias("l").join(F.broadcast(n).alias("r"), same("l", "r", ["id"])).select("event_uid", "before", "after", (F.col("place") + 1).cast("int").alias("place"), "r.events")
 
 
 @query(r"""

@@ -9,7 +9,9 @@ from ..functions import text as X
 from ..functions import times as T
 from ..operators import bank, embeddings, matching, release, runlog, sampling, scoring, segmentation, timelines
 from ..operators.packed import unpack
-from ..sources.tables import table
+from ..operators.prefix import same
+from ..operators.skew import hot_join
+from ..sources.tables import cut, table
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -109,14 +111,14 @@ def best_letter(spark: SparkSession, d: str) -> DataFrame:
 @query(r"""
 WITH t AS (SELECT line_id, video_id, pos, seconds, end_sec, str_split(trim(time_str), ':') AS p FROM timeline),
 u AS (SELECT *, CASE len(p) WHEN 3 THEN TRY_CAST(p[1] AS INT) * 3600 + TRY_CAST(p[2] AS INT) * 60 + TRY_CAST(p[3] AS INT) WHEN 2 THEN TRY_CAST(p[1] AS INT) * 60 + TRY_CAST(p[2] AS INT) END AS mark FROM t),
-v AS (SELECT *, coalesce(mark, CAST(seconds AS INT)) AS second FROM u)
-SELECT line_id, video_id, second, coalesce(mark <> seconds, false) AS corrected, CAST(second AS DOUBLE) AS start,
-  coalesce(CAST(lead(second) OVER (PARTITION BY video_id ORDER BY second, pos, line_id) AS DOUBLE), greatest(max(end_sec) OVER (PARTITION BY video_id), second), second) AS "end"
-FROM v WHERE second IS NOT NULL""")
+v AS (SELECT *, coalesce(mark, CAST(seconds AS INT)) AS second FROM u),
+w AS (SELECT line_id, video_id, second, coalesce(mark <> seconds, false) AS corrected, CAST(second AS DOUBLE) AS start,
+  coalesce(CAST(lead(second) OVER (PARTITION BY video_id ORDER BY second, pos, line_id) AS DOUBLE), max(end_sec) OVER (PARTITION BY video_id)) AS till FROM v WHERE second IS NOT NULL)
+SELECT line_id, video_id, second, corrected, start, CASE WHEN till >= start THEN till END AS "end" FROM w""")
 def timeline_normalize(spark: SparkSession, d: str) -> DataFrame:
-    """Canonical seconds, and ends from the next start."""
+    """Canonical seconds, and ends from the next start; the last end is that of the track, none if it lies before the start."""
     t = table(spark, d, "timeline").withColumn("place", F.struct("pos", "line_id"))
-    return timelines.normalize(t, "video_id", "place", "time_str", "seconds", "end_sec").select("line_id", "video_id", "second", "corrected", "start", "end")
+    return timelines.normalize(t, "video_id", "place", "time_str", "seconds", "end_sec", strict=False).select("line_id", "video_id", "second", "corrected", "start", "end")
 
 
 @query(r"""
@@ -190,24 +192,31 @@ def _noun_sql(x: str) -> str:
     return f"CASE WHEN contains({t}, '3dio') THEN '3dio mic' WHEN {t} IN ('mic', 'mics', 'microphone', 'microphones') THEN 'mic' WHEN {t} IN ('hand', 'left hand', 'right hand', 'human hand') THEN 'hands' WHEN {t} = 'finger' THEN 'fingers' WHEN {t} = 'nail' THEN 'nails' WHEN {t} = 'fingernail' THEN 'fingernails' ELSE {t} END"
 
 
+_EAR = r"\y(silicone|binaural|3dio|mannequin|dummy head|ear model|ear replica|ear-shaped)\y".replace(r"\y", r"\b")
+
+
 @query(rf"""
-WITH n AS (SELECT label_id, object AS raw, {_noun_sql("object")} AS noun FROM train_label),
+WITH n AS (SELECT label_id, object AS raw, concat(coalesce(seg_label, ''), ' ', coalesce(title, '')) AS ctx, {_noun_sql("object")} AS noun FROM train_label),
 c AS (SELECT *, trim(regexp_replace(regexp_replace(noun, '\b(red|blue|green|pink|purple|black|white|yellow|orange|teal|amber|golden|silver|metallic|glittery)\b', '', 'gi'), '\s+', ' ', 'g')) AS plain FROM n),
 t AS (SELECT *, CASE WHEN regexp_matches(plain, 'ear pick|earpick|ear stick|ear cleaner|ear cleaning') THEN
     CASE WHEN regexp_matches(plain, 'bamboo|wood') THEN 'wooden tool' WHEN regexp_matches(plain, 'metal|spring|steel') THEN 'metal tool' WHEN contains(plain, 'plastic') THEN 'plastic tool' WHEN regexp_matches(plain, 'cotton|fluffy|swab') THEN 'cotton tool' WHEN regexp_matches(plain, 'silicone|rubber') THEN 'silicone tool' ELSE 'metal tool' END
-  WHEN contains(plain, 'tweezer') THEN 'metal tool' WHEN contains(plain, 'spoolie') THEN 'plastic tool' WHEN plain IN ('cotton swab', 'cotton tip', 'cotton tips') THEN 'cotton swab'
-  WHEN plain LIKE '% brush' OR plain LIKE '% brushes' OR plain IN ('paint brush', 'makeup brush', 'hairbrush') THEN CASE WHEN contains(plain, 'wood') THEN 'wooden brush' ELSE 'brush' END ELSE plain END AS tool FROM c),
-w AS (SELECT *, replace(tool, 'sealing wax', 'wax') AS waxed FROM t),
+  WHEN contains(plain, 'tweezer') THEN 'metal tool' WHEN contains(plain, 'spoolie') THEN 'plastic tool' WHEN regexp_matches(plain, 'cotton swab|cotton tip') THEN 'cotton swab'
+  WHEN regexp_matches(plain, ' brush$| brushes$|paint brush|makeup brush|hairbrush') THEN CASE WHEN contains(plain, 'wood') THEN 'wooden brush' ELSE 'brush' END
+  WHEN contains(plain, 'fork') AND contains(plain, 'brush') THEN 'brush' ELSE plain END AS tool FROM c),
+e AS (SELECT *, CASE WHEN tool IN ('ear', 'ears', 'left ear', 'right ear', 'ear canal', 'eardrum') AND (regexp_matches(ctx, '{_EAR}', 'i') OR regexp_matches(lower(ctx), 'ear cleaning|silicone')) THEN CASE tool WHEN 'ears' THEN 'silicone ears' ELSE 'silicone ear' END
+  WHEN tool IN ('earpod', 'earpods', 'earphone', 'earphones', 'earbud', 'earbuds', 'earphone mic') THEN CASE WHEN regexp_matches(ctx, '{_EAR}', 'i') THEN 'silicone ear' ELSE 'mic' END
+  WHEN contains(tool, 'crystal ear') THEN 'glass ear' WHEN contains(tool, 'wooden ear') THEN 'wooden ear' WHEN regexp_matches(tool, 'dummy head|wooden head') THEN 'silicone ear' ELSE tool END AS heard FROM t),
+w AS (SELECT *, replace(heard, 'sealing wax', 'wax') AS waxed FROM e),
 z AS (SELECT *, {_noun_sql("waxed")} AS again FROM w)
 SELECT label_id, noun, CASE WHEN lower(trim(raw)) = 'fail' THEN 'fail' WHEN contains(again, 'recorder') AND NOT contains(again, 'mic') THEN 'mic' ELSE again END AS phrase FROM z""")
 def noun_normalize(spark: SparkSession, d: str) -> DataFrame:
-    """Nouns in their normal form, and the whole phrase pipeline."""
-    return table(spark, d, "train_label").select("label_id", X.noun(F.col("object")).alias("noun"), X.noun_phrase(F.col("object")).alias("phrase"))
+    """Nouns in their normal form, and the whole phrase pipeline with the label and title around."""
+    return table(spark, d, "train_label").select("label_id", X.noun(F.col("object")).alias("noun"), X.noun_phrase(F.col("object"), F.col("seg_label"), F.col("title")).alias("phrase"))
 
 
 @query(r"""
 SELECT label_id, coalesce(regexp_replace(trim(lower(verb)), '\s+', '_', 'g'), '') AS token, concat_ws('__', 'vb', coalesce(nullif(trim(regexp_replace(lower(subject), '[^a-z0-9]+', '-', 'g'), '-'), ''), '_'), coalesce(nullif(trim(regexp_replace(lower(object), '[^a-z0-9]+', '-', 'g'), '-'), ''), '_')) AS group_id,
-  CASE WHEN w LIKE '%ies' AND length(w) > 3 THEN substr(w, 1, length(w) - 3) || 'y' WHEN w LIKE '%es' AND length(w) > 3 THEN substr(w, 1, length(w) - 2) WHEN w LIKE '%s' AND w NOT LIKE '%ss' AND length(w) > 2 THEN substr(w, 1, length(w) - 1) ELSE w END AS singular
+  CASE WHEN regexp_matches(w, '.ies$') THEN regexp_replace(w, 'ies$', 'y') WHEN regexp_matches(w, '.es$') THEN regexp_replace(w, 'es$', '') WHEN regexp_matches(w, '[^s]s$') THEN regexp_replace(w, 's$', '') ELSE w END AS singular
 FROM (SELECT *, lower(object) AS w FROM train_label)""")
 def text_keys(spark: SparkSession, d: str) -> DataFrame:
     """Tokens, group ids from slugs, singulars."""
@@ -296,7 +305,20 @@ def value_frequency(spark: SparkSession, d: str) -> DataFrame:
 
 
 # runs
-_NEEDLES = " ".join(f"WHEN {' OR '.join(f"contains(t, '{n}')" for n in needles)} THEN '{name}'" for name, needles in X.FAILURES)
+#: The reasons written out once more for the SQL side.
+_NEEDLES = """
+WHEN regexp_matches(t, 'rate limit|too many requests|http 429|status 429|quota exceeded') THEN 'rate_limit'
+WHEN regexp_matches(t, 'timed out|timeout|deadline exceeded') THEN 'timeout'
+WHEN regexp_matches(t, 'connection (reset|refused|aborted)|temporary failure in name resolution|name or service not known|network is unreachable|remote end closed|http 50[234]') THEN 'network'
+WHEN regexp_matches(t, 'unauthorized|forbidden|http 40[13]|sign in|cookie') THEN 'authentication'
+WHEN regexp_matches(t, 'video unavailable|private video|removed|not available|members-only|age-restricted') THEN 'source_unavailable'
+WHEN regexp_matches(t, 'video too long|duration exceeds|too long|maximum duration') THEN 'source_too_long'
+WHEN regexp_matches(t, 'ffmpeg|ffprobe|decode|invalid data found|unsupported codec') THEN 'media_processing'
+WHEN regexp_matches(t, 'no such file|not found|missing audio|missing image|不存在') THEN 'missing_input'
+WHEN regexp_matches(t, 'no space left|disk quota|read-only file system') THEN 'storage'
+WHEN regexp_matches(t, 'invalid input|invalid url|parse error|jsondecodeerror|缺少有效') THEN 'invalid_input'
+WHEN regexp_matches(t, 'api error|internal server error|service unavailable|bad gateway') THEN 'api_error'
+"""
 
 
 @query(rf"""
@@ -372,15 +394,18 @@ def semi_and_anti(spark: SparkSession, d: str) -> DataFrame:
 
 # audits
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Finished annotations with the clip's label: gold and predicted verb and object."""
-    g = table(spark, d, "manual_gt_example").where("annotation.status in ('complete', 'completed', 'reviewed')").select("gt_row_id", "wav", F.col("annotation.annotator_id").alias("annotator"), X.token(F.col("gt.verb")).alias("gold"), X.audit_text(F.col("gt.object")).alias("gold_object"))
-    p = timelines.first_by(table(spark, d, "train_label").where("wav is not null"), ["wav"], ["label_id"]).select("wav", X.token(F.col("verb")).alias("pred"), X.audit_text(F.col("object")).alias("pred_object"))
-    return g.join(p, "wav")
+    """Annotations that count with the clip's label: gold and predicted verb and object."""
+    g = table(spark, d, "manual_gt_example").where(X.is_completed(F.col("annotation.status"), F.col("gt.subject"), F.col("gt.verb")))
+    g = g.select("gt_row_id", "item_id", "wav", F.col("annotation.annotator_id").alias("annotator"), X.token(F.col("gt.verb")).alias("gold"), X.audit_text(F.col("gt.object")).alias("gold_object"), X.audit_text(F.col("gt.subject")).alias("gold_subject"))
+    # the first label of a clip, by a reduction with a map-side combine
+    p = table(spark, d, "train_label").where("wav is not null").groupBy("wav").agg(F.min_by(F.struct("verb", "object", "subject"), "label_id").alias("x"))
+    return g.join(p.select("wav", X.token(F.col("x.verb")).alias("pred"), X.audit_text(F.col("x.object")).alias("pred_object"), X.audit_text(F.col("x.subject")).alias("pred_subject")), "wav")
 
 
+_DONE = f"coalesce({_SQ.format('annotation.status')}, '') NOT IN ('pending', 'skip', 'skipped', 'invalid', 'excluded') AND {_SQ.format('gt.subject')} IS NOT NULL AND {_SQ.format('gt.verb')} IS NOT NULL"
 _PAIRS = rf"""
-g AS (SELECT gt_row_id, wav, annotation.annotator_id AS annotator, coalesce(regexp_replace(trim(lower(gt.verb)), '\s+', '_', 'g'), '') AS gold, {_SQ.format("gt.object")} AS gold_object FROM manual_gt_example WHERE annotation.status IN ('complete', 'completed', 'reviewed')),
-l AS (SELECT wav, coalesce(regexp_replace(trim(lower(verb)), '\s+', '_', 'g'), '') AS pred, {_SQ.format("object")} AS pred_object FROM train_label WHERE wav IS NOT NULL QUALIFY row_number() OVER (PARTITION BY wav ORDER BY label_id) = 1),
+g AS (SELECT gt_row_id, item_id, wav, annotation.annotator_id AS annotator, coalesce(regexp_replace(trim(lower(gt.verb)), '\s+', '_', 'g'), '') AS gold, {_SQ.format("gt.object")} AS gold_object, {_SQ.format("gt.subject")} AS gold_subject FROM manual_gt_example WHERE {_DONE}),
+l AS (SELECT wav, coalesce(regexp_replace(trim(lower(verb)), '\s+', '_', 'g'), '') AS pred, {_SQ.format("object")} AS pred_object, {_SQ.format("subject")} AS pred_subject FROM train_label WHERE wav IS NOT NULL QUALIFY row_number() OVER (PARTITION BY wav ORDER BY label_id) = 1),
 p AS (SELECT * FROM g JOIN l USING (wav))
 """
 _F1 = _PAIRS + r""",
@@ -515,8 +540,8 @@ def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH a AS (SELECT DISTINCT author FROM train_label WHERE trim(author) <> '')
-SELECT author, concat('creator_', CASE WHEN k < 10 THEN '0' ELSE '' END, k) AS creator_id FROM (SELECT author, row_number() OVER (ORDER BY author) AS k FROM a)""")
+WITH a AS (SELECT DISTINCT regexp_replace(author, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS author FROM train_label WHERE author IS NOT NULL)
+SELECT author, concat('creator_', CASE WHEN k < 10 THEN '0' ELSE '' END, k) AS creator_id FROM (SELECT author, row_number() OVER (ORDER BY author) AS k FROM a WHERE author <> '')""")
 def creator_ids(spark: SparkSession, d: str) -> DataFrame:
     """Pseudonyms of the authors."""
     return release.creator_ids(table(spark, d, "train_label"), "author")
@@ -539,25 +564,24 @@ def greedy_shards(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH a AS (SELECT DISTINCT author FROM train_label WHERE trim(author) <> ''), n AS (SELECT author, row_number() OVER (ORDER BY author) AS k FROM a)
+WITH t AS (SELECT *, regexp_replace(author, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS who FROM train_label), n AS (SELECT who, row_number() OVER (ORDER BY who) AS k FROM (SELECT DISTINCT who FROM t WHERE who <> ''))
 SELECT label_id, trim(regexp_replace(replace(regexp_replace(regexp_extract(wav, '([^/]*)$', 1), '\.[^./]*$', ''), '/', '__'), '[^A-Za-z0-9._-]+', '_', 'g'), '_') AS audio_id, caption, verb, subject, object,
-  CASE WHEN k IS NULL THEN 'creator_unknown' ELSE concat('creator_', CASE WHEN k < 10 THEN '0' ELSE '' END, k) END AS creator_id FROM train_label LEFT JOIN n USING (author)""")
+  CASE WHEN k IS NULL THEN 'creator_unknown' ELSE concat('creator_', CASE WHEN k < 10 THEN '0' ELSE '' END, k) END AS creator_id FROM t LEFT JOIN n USING (who)""")
 def release_rows(spark: SparkSession, d: str) -> DataFrame:
     """Public columns with pseudonyms; private ones are dropped."""
-    t = table(spark, d, "train_label")
-    ids = release.creator_ids(t, "author")
-    return t.join(ids, "author", "left").select("label_id", X.audio_id(F.col("wav")).alias("audio_id"), "caption", "verb", "subject", "object", F.coalesce("creator_id", F.lit("creator_unknown")).alias("creator_id"))
+    t = table(spark, d, "train_label").withColumn("author", X.stripped(F.col("author")))
+    ids = cut(release.creator_ids(t, "author"))
+    return hot_join(t, ids, "author").select("label_id", X.audio_id(F.col("wav")).alias("audio_id"), "caption", "verb", "subject", "object", F.coalesce("creator_id", F.lit("creator_unknown")).alias("creator_id"))
 
 
 # segments
 @query(r"""
 WITH f AS (SELECT user_id, (row_number() OVER w) - 1 AS first, avg(value) OVER a AS mean, sqrt(var_pop(value) OVER a + 1e-8) AS std, count(value) OVER a AS n FROM events
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id), a AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING))
-SELECT user_id, CAST(first AS INT) AS first, round(mean, 6) AS mean, round(std, 6) AS std FROM f WHERE n = 8 AND first % 4 = 0""")
+SELECT user_id, CAST(first AS INT) AS first, CAST(first + 4 AS INT) AS center, round(mean, 6) AS mean, round(std, 6) AS std FROM f WHERE n = 8 AND first % 4 = 0""")
 def sliding_stats(spark: SparkSession, d: str) -> DataFrame:
     """Mean and deviation over every fourth full window of eight events."""
-    e = table(spark, d, "events").withColumn("place", F.struct("ts", "event_id"))
-    return segmentation.sliding(e, ["user_id"], "place", "value", 8, 4).select("user_id", "first", r6("mean").alias("mean"), r6("std").alias("std"))
+    return segmentation.sliding(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", 8, 4).select("user_id", "first", "center", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
 @query(r"""
@@ -571,23 +595,44 @@ def robust_scale(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def change_points(spark: SparkSession, d: str) -> DataFrame:
     """Segments of each user's values between change points."""
-    e = table(spark, d, "events").withColumn("place", F.struct("ts", "event_id"))
-    return segmentation.change_points(e, "user_id", "place", ["value"])
+    return segmentation.change_points(table(spark, d, "events"), "user_id", ["ts", "event_id"], ["value"])
 
 
 @query(r"""
-WITH g AS (SELECT id AS video_id, min(start_sec) AS lo, max(end_sec) AS hi FROM train_events WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL GROUP BY id HAVING max(end_sec) - min(start_sec) >= 40),
-b AS (SELECT video_id, unnest([0, 1, 2]) AS segment, lo, hi FROM g),
-s AS (SELECT video_id, segment, CASE segment WHEN 0 THEN lo WHEN 1 THEN lo + 10 + 1 ELSE lo + 22 + 1 END AS a, CASE segment WHEN 0 THEN lo + 10 - 1 WHEN 1 THEN lo + 22 - 1 ELSE hi END AS b FROM b)
-SELECT video_id, CAST(segment AS INT) AS segment, round(a, 6) AS start, round(b, 6) AS "end", b - a >= 10 AS kept FROM s""")
+WITH g AS (SELECT id AS video_id, min(start_sec) AS lo, max(end_sec) AS hi FROM train_events WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL GROUP BY id HAVING max(end_sec) > min(start_sec)),
+w AS (SELECT *, CAST(greatest(1, ceil((hi - lo) / 2)) AS INT) AS n FROM g),
+s AS (SELECT DISTINCT video_id, lo, hi, n, CAST(floor((start_sec - lo) / 2) AS INT) AS b FROM train_events JOIN w ON video_id IS NOT DISTINCT FROM id WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL),
+l AS (SELECT video_id, lo, hi, n, list_sort(list_distinct(list_append(list_prepend(0, coalesce(list(b) FILTER (b > 0 AND b < n), [])), n))) AS bs FROM s GROUP BY video_id, lo, hi, n),
+m AS (SELECT video_id, lo, hi, n, list_reduce(list_transform(bs[1:-2], lambda x: [x]), lambda a, x: CASE WHEN x[1] - a[-1] >= 5 THEN list_concat(a, x) ELSE a END) AS kept FROM l),
+k AS (SELECT video_id, lo, hi, list_append(kept, n) AS bs FROM m),
+e AS (SELECT video_id, lo, hi, bs, unnest(range(1, len(bs))) AS i FROM k),
+c AS (SELECT video_id, i - 1 AS segment, CASE WHEN i = 1 THEN lo ELSE lo + 2 * bs[i] + 1 END AS a, CASE WHEN i = len(bs) - 1 THEN hi ELSE lo + 2 * bs[i + 1] - 1 END AS b FROM e)
+SELECT video_id, CAST(segment AS INT) AS segment, round(a, 6) AS start, round(b, 6) AS "end", b - a >= 10 AS kept FROM c""")
 def cut_segments(spark: SparkSession, d: str) -> DataFrame:
-    """Three segments a video at the boundaries 5 and 11 of two-second windows, edges shrunk, short ones not kept."""
-    g = table(spark, d, "train_events").where("start_sec is not null and end_sec is not null").groupBy(F.col("id").alias("video_id")).agg(F.min("start_sec").alias("lo"), F.max("end_sec").alias("hi")).where("hi - lo >= 40")
-    x = g.withColumn("centers", F.array(*[F.lit(2.0 * k + 1) for k in range(20)])).withColumn("bounds", F.array(F.lit(0), F.lit(5), F.lit(11), F.lit(20)))
-    y = segmentation.cut_segments(x.withColumn("bounds", segmentation.merge_short(F.col("bounds"), 5)), "video_id", "centers", "bounds", "lo", "hi", 2.0, 10.0)
+    """Segments of every whole video in two-second windows: boundaries where events begin, those closer than five windows
+    merged, edges shrunk by half of two seconds, segments under ten seconds not kept."""
+    e = table(spark, d, "train_events").where("start_sec is not null and end_sec is not null").select(F.col("id").alias("video_id"), "start_sec", "end_sec")
+    g = cut(e.groupBy("video_id").agg(F.min("start_sec").alias("lo"), F.max("end_sec").alias("hi")).where("hi > lo").withColumn("n", F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo")) / 2)).cast("int")))
+    at = e.alias("l").join(g.alias("r"), same("l", "r", ["video_id"])).select("r.*", F.floor((F.col("l.start_sec") - F.col("r.lo")) / 2).cast("int").alias("b")).distinct()
+    # at most one boundary a window of the video
+    x = at.groupBy("video_id", "lo", "hi", "n").agg(F.collect_list(F.when((F.col("b") > 0) & (F.col("b") < F.col("n")), F.col("b"))).alias("inner"))
+    x = x.withColumn("bounds", segmentation.merge_short(F.concat(F.array(F.lit(0)), "inner", F.array("n")), 5))
+    y = segmentation.cut_segments(x, "video_id", lambda k: 2.0 * k + 1, "bounds", "lo", "hi", 2.0, 10.0)
     return y.select("video_id", "segment", r6("start").alias("start"), r6("end").alias("end"), "kept")
 
 
+@query()
+def segment_chain(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain over each user's values: scaled, sliding statistics, change points of the windows, short segments
+    merged, and the rows that each segment spans."""
+    x = segmentation.robust_scale(table(spark, d, "events").select("user_id", "ts", "event_id", "value"), ["user_id"], "value")
+    w = cut(segmentation.sliding(x, ["user_id"], ["ts", "event_id"], "scaled", 8, 4))
+    points = segmentation.change_points(w, "user_id", ["first"], ["mean", "std"], penalty=3.0, least=5)
+    b = points.groupBy("user_id").agg(F.array_sort(F.collect_list(F.col("last") + 1)).alias("ends"))
+    b = b.withColumn("bounds", segmentation.merge_short(F.concat(F.array(F.lit(0)), "ends"), 5)).withColumn("lo", F.lit(0.0)).withColumn("hi", F.element_at("bounds", -1) * 4.0 + 4)
+    return segmentation.cut_segments(b, "user_id", lambda k: 4.0 * k + 4, "bounds", "lo", "hi", 2.0, 10.0)
+
+
 # embeddings
 @query(r"""
 WITH l AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),

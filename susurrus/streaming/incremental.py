@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,28 +23,61 @@ def resume(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 class Table:
-    """A Parquet table in numbered versions below one folder; the newest complete one is read. A batch that ran before is
-    recognised by its number, so a restarted stream upserts each batch once."""
-
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    def _versions(self) -> list[int]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [s.getPath() for s in fs.listStatus(path)] if fs.exists(path) else []
-        return sorted(int(p.getName()[2:]) for p in names if p.getName().startswith("v=") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    """A keyed Parquet table in buckets of its keys below one folder, for the upserts of a stream.
+
+    A batch rewrites the buckets that its keys fall into and no other, into files of its own number; a manifest, renamed
+    into place when they are complete, says which number each bucket is read from. So a batch costs what it touches, a
+    failed one leaves the table as it was, a batch that ran before is recognised by its number, and files that the newest
+    manifest doesn't name are deleted. One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64) -> None:
+        self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
+
+    def _path(self, name: str = ""):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _manifest(self) -> tuple[int, dict[str, int]]:
+        """(number of the newest batch or -1, bucket -> number of its files)."""
+        path, fs = self._path()
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        done = [int(n.removeprefix("manifest-").removesuffix(".json")) for n in names if n.startswith("manifest-") and n.endswith(".json")]
+        if not done:
+            return -1, {}
+        text = self.spark.read.text(f"{self.folder}/manifest-{max(done)}.json", wholetext=True).first()[0]
+        return max(done), json.loads(text)
+
+    def _files(self, at: dict[str, int]) -> DataFrame | None:
+        paths = [f"{self.folder}/v={v}/__b={b}" for b, v in sorted(at.items())]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def read(self) -> DataFrame | None:
-        at = self._versions()
-        return self.spark.read.parquet(f"{self.folder}/v={at[-1]}") if at else None
+        return self._files(self._manifest()[1])
 
     def merge(self, batch: DataFrame, number: int, keys: list[str], version: str) -> None:
-        if number in self._versions():
+        last, at = self._manifest()
+        if number <= last:
             return
-        old = self.read()
-        base = old if old is not None else batch.limit(0)
-        upsert(base, batch, keys, version).write.mode("overwrite").parquet(f"{self.folder}/v={number}")
+        new = batch.withColumn("__b", F.pmod(F.xxhash64(*keys), F.lit(self.buckets)))
+        touched = [str(x[0]) for x in new.select("__b").distinct().collect()]  # at most as many as there are buckets
+        old = self._files({b: at[b] for b in touched if b in at})
+        base = batch.limit(0) if old is None else old
+        merged = upsert(base, batch, keys, version).withColumn("__b", F.pmod(F.xxhash64(*keys), F.lit(self.buckets)))
+        merged.repartition("__b").write.mode("overwrite").partitionBy("__b").parquet(f"{self.folder}/v={number}")
+        after = at | {b: number for b in touched}
+        temporary, fs = self._path(f"writing-{number}")
+        out = fs.create(temporary, True)
+        out.write(bytearray(json.dumps(after).encode()))
+        out.close()
+        fs.rename(temporary, self._path(f"manifest-{number}.json")[0])
+        for b in touched:
+            if b in at:
+                fs.delete(self._path(f"v={at[b]}/__b={b}")[0], True)
+        if last >= 0:
+            fs.delete(self._path(f"manifest-{last}.json")[0], False)
+        for v in set(at.values()) - set(after.values()):
+            fs.delete(self._path(f"v={v}")[0], True)
 
 
 def upsert_stream(stream: DataFrame, table: Table, keys: list[str], version: str, checkpoint: str, before: Callable[[DataFrame], DataFrame] | None = None):
