@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import cut
 
 #: A right side of up to this many rows is broadcast (some 100 bytes a row).
-BROADCAST_ROWS = 300_000
+BROADCAST_ROWS = 100_000
 #: A key with at least one in so many left rows is hot; there are at most that many.
 HOT_ONE_IN = 2_000
 

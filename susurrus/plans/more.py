@@ -86,18 +86,6 @@ def path_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "train_label").where("wav is not null").select("label_id", F.regexp_extract(folder, pattern, 1).alias("video_id"), number(2).alias("start"), number(3).alias("end"))
 
 
-@query(r"""
-WITH o AS (SELECT label_id, subject, [coalesce(verb, '-'), 'rubbing', 'tapping', 'pouring'] AS v FROM train_label)
-SELECT label_id, concat('Which verb fits ', coalesce(subject, 'the sound'), '?', chr(10), 'A. ', replace(v[1], '_', ' '), chr(10), 'B. ', v[2], chr(10), 'C. ', v[3], chr(10), 'D. ', v[4]) AS prompt, concat('A=', v[1], ' | B=', v[2], ' | C=', v[3], ' | D=', v[4]) AS options FROM o""")
-def prompt_render(spark: SparkSession, d: str) -> DataFrame:
-    """Prompts and option strings from option arrays."""
-    opts = F.array(*[F.struct(F.lit(c).alias("label"), v.alias("value")) for c, v in zip("ABCD", [F.coalesce("verb", F.lit("-")), F.lit("rubbing"), F.lit("tapping"), F.lit("pouring")], strict=True)])
-    lines = F.array_join(F.transform("o", lambda x: F.concat(x["label"], F.lit(". "), F.translate(x["value"], "_", " "))), "\n")
-    short = F.array_join(F.transform("o", lambda x: F.concat(x["label"], F.lit("="), x["value"])), " | ")
-    t = table(spark, d, "train_label").withColumn("o", opts)
-    return t.select("label_id", F.concat(F.lit("Which verb fits "), F.coalesce("subject", F.lit("the sound")), F.lit("?\n"), lines).alias("prompt"), short.alias("options"))
-
-
 @query("SELECT wav, label_id, exported_at FROM train_label WHERE wav IS NOT NULL QUALIFY row_number() OVER (PARTITION BY wav ORDER BY exported_at DESC, label_id DESC) = 1")
 def latest_exports(spark: SparkSession, d: str) -> DataFrame:
     """The last export of every clip, by a reduction with a map-side combine rather than a window."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import times as T
-from ..operators import bank, embeddings, matching, release, runlog, sampling, scoring, segmentation, timelines
+from ..operators import embeddings, matching, release, runlog, sampling, scoring, segmentation, timelines
 from ..operators.packed import unpack
 from ..operators.prefix import same
 from ..operators.skew import hot_join
@@ -457,77 +457,6 @@ def cohen_kappa(spark: SparkSession, d: str) -> DataFrame:
     return x.select("annotator", "n", *[r6(c).alias(c) for c in ("observed", "expected", "kappa")])
 
 
-# question bank
-MATERIALS = ["rubber", "wax", "leather", "paper", "wood", "plastic", "glass", "metal", "textile_fibrous", "clay", "foam_lather", "foam_solid"]
-
-
-def _clips(spark: SparkSession, d: str) -> DataFrame:
-    """Parts as clips: a verb, cores and materials from their fields."""
-    m = F.element_at(F.array(*[F.lit(x) for x in MATERIALS]), (F.pmod("p_partkey", F.lit(12)) + 1).cast("int"))
-    return table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("audio_id"), F.col("p_brand").alias("verb"), F.col("p_type").alias("subject_core"), F.col("p_name").alias("object_core"), m.alias("object_material"))
-
-
-_CLIPS = f"c AS (SELECT CAST(p_partkey AS VARCHAR) AS audio_id, p_brand AS verb, p_type AS subject_core, p_name AS object_core, {MATERIALS!r}[CAST(p_partkey % 12 AS INT) + 1] AS object_material FROM part)"
-_SLUG = "coalesce(nullif(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '-'), ''), '_')"
-
-
-@query(f"""
-WITH {_CLIPS} SELECT concat_ws('__', 'vb', {_SLUG.format("subject_core")}, {_SLUG.format("object_core")}) AS group_id, array_to_string(list_sort(list(DISTINCT verb)), ',') AS verbs, count(DISTINCT audio_id) AS members
-FROM c GROUP BY subject_core, object_core HAVING count(DISTINCT verb) >= 2""")
-def minpair_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Clips that differ in their verb only."""
-    x = bank.clusters(_clips(spark, d), "vb", ["subject_core", "object_core"], "verb", "audio_id")
-    return x.select("group_id", F.array_join("values", ",").alias("verbs"), "members")
-
-
-@query(f"""
-WITH RECURSIVE {_CLIPS}, fam AS (SELECT unnest({MATERIALS!r}) AS m, unnest(['rubber', 'rubber', 'rubber', 'rubber', 'rubber', 'plastic', 'plastic', 'plastic', 'textile_fibrous', 'clay', 'foam_lather', 'foam_solid']) AS f),
-g AS (SELECT DISTINCT subject_core, f, m FROM c JOIN fam ON m = object_material),
-k AS (SELECT subject_core, f, list(m) AS ms, row_number() OVER (PARTITION BY subject_core ORDER BY f) AS i FROM g GROUP BY subject_core, f),
-s AS (SELECT subject_core, i, [m] AS subset FROM (SELECT subject_core, i, unnest(ms) AS m FROM k WHERE i = 1) UNION ALL
-  SELECT s.subject_core, k.i, list_append(s.subset, k.m) FROM s JOIN (SELECT subject_core, i, unnest(ms) AS m FROM k) k ON k.subject_core = s.subject_core AND k.i = s.i + 1),
-z AS (SELECT s.subject_core, list_sort(subset) AS subset FROM s JOIN (SELECT subject_core, max(i) AS top FROM k GROUP BY subject_core HAVING max(i) >= 2) t ON t.subject_core = s.subject_core AND s.i = t.top)
-SELECT subject_core, array_to_string(subset, ',') AS subset FROM z""")
-def material_groups(spark: SparkSession, d: str) -> DataFrame:
-    """The largest sets of materials that sound apart, per subject."""
-    x = bank.material_groups(_clips(spark, d), "om", ["subject_core"], "object_material", "audio_id")
-    return x.select("subject_core", F.array_join("subset", ",").alias("subset"))
-
-
-@query(f"""
-WITH {_CLIPS}, fam AS (SELECT unnest({MATERIALS!r}) AS m, unnest(['rubber', 'rubber', 'rubber', 'rubber', 'rubber', 'plastic', 'plastic', 'plastic', 'textile_fibrous', 'clay', 'foam_lather', 'foam_solid']) AS f),
-q AS (SELECT concat('t2_om__', audio_id) AS question_id, object_material AS gold, f AS gf FROM c JOIN fam ON m = object_material),
-pad AS (SELECT question_id, gold, m, row_number() OVER (PARTITION BY question_id ORDER BY md5(concat(question_id, ':pad:', m))) AS k FROM q JOIN fam ON f <> gf),
-o AS (SELECT question_id, gold, gold AS value, 'target' AS source FROM q UNION ALL SELECT question_id, gold, m, 'distant_pool' FROM pad WHERE k <= 3)
-SELECT question_id, ['A', 'B', 'C', 'D'][CAST(row_number() OVER (PARTITION BY question_id ORDER BY md5(concat(question_id, ':', value))) AS INT)] AS label, value, source FROM o""")
-def mc_options(spark: SparkSession, d: str) -> DataFrame:
-    """Options of one question a clip: its material and three that sound apart."""
-    q = _clips(spark, d).select(F.concat(F.lit("t2_om__"), "audio_id").alias("question_id"), F.col("object_material").alias("gold"), F.array("object_material").alias("group"))
-    return bank.options(q, MATERIALS, "question_id", "gold", "group")
-
-
-@query(f"""
-WITH {_CLIPS}, t AS (SELECT subject_core, object_core FROM c GROUP BY ALL HAVING count(DISTINCT verb) >= 2),
-m AS (SELECT concat_ws('__', 'vb', {_SLUG.format("c.subject_core")}, {_SLUG.format("c.object_core")}) AS g, audio_id, verb, row_number() OVER (PARTITION BY c.subject_core, c.object_core ORDER BY CAST(audio_id AS BIGINT)) - 1 AS k FROM c JOIN t USING (subject_core, object_core))
-SELECT concat(g, '__inst', k) AS question_id, audio_id, 'strict_minimal_pair' AS tier FROM m
-UNION ALL SELECT concat('t2_vb__', audio_id), audio_id, 'curated_distant_single' FROM c WHERE audio_id NOT IN (SELECT audio_id FROM m)""")
-def tier_questions(spark: SparkSession, d: str) -> DataFrame:
-    """Numbered questions of minimal pairs, and single questions for the clips in none."""
-    c = _clips(spark, d)
-    groups = bank.clusters(c, "vb", ["subject_core", "object_core"], "verb", "audio_id").select("group_id", "subject_core", "object_core")
-    m = c.join(groups, ["subject_core", "object_core"]).withColumn("n", F.col("audio_id").cast("long"))
-    one = m.select(F.concat("group_id", F.lit("__inst"), bank.question_numbers(m, "group_id", "n")).alias("question_id"), "audio_id", F.lit("strict_minimal_pair").alias("tier"))
-    two = c.join(m.select("audio_id"), "audio_id", "left_anti").select(F.concat(F.lit("t2_vb__"), "audio_id").alias("question_id"), "audio_id", F.lit("curated_distant_single").alias("tier"))
-    return one.unionByName(two)
-
-
-@query(f"WITH {_CLIPS} SELECT verb, object_material, count(*) AS n, count(DISTINCT object_core) AS cores FROM c GROUP BY GROUPING SETS ((verb, object_material), (verb), ())")
-def tier_task_sets(spark: SparkSession, d: str) -> DataFrame:
-    """Counts by verb and material, by verb, and in all, in one aggregation."""
-    c = _clips(spark, d)
-    return c.groupingSets([["verb", "object_material"], ["verb"], []], "verb", "object_material").agg(F.count("*").alias("n"), F.countDistinct("object_core").alias("cores"))
-
-
 # samples and releases
 @query(r"""
 WITH v AS (SELECT label_id, coalesce(regexp_replace(trim(lower(verb)), '\s+', '_', 'g'), '') AS verb FROM train_label WHERE verb IS NOT NULL),

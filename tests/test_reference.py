@@ -14,6 +14,7 @@ import __spark_entry__ as entry
 from susurrus.functions import text as X
 from susurrus.functions import times as T
 from susurrus.operators import audio, bank, embeddings, matching, providers, release, runlog, sampling, scoring, segmentation, timelines
+from susurrus.plans import bank as bank_plans
 from susurrus.plans import more, reference
 from susurrus.sources import readers, writers
 from susurrus.streaming import incremental
@@ -32,7 +33,7 @@ def plain(v):
     return float(v) if type(v).__name__ == "Decimal" else v
 
 
-@pytest.mark.parametrize("name", sorted(reference.ORACLES | more.ORACLES) + ["p3_found", "p3_coverage"])
+@pytest.mark.parametrize("name", sorted(reference.ORACLES | more.ORACLES | bank_plans.ORACLES) + ["p3_found", "p3_coverage"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("timeline segment_label_parse train_events train_label manual_gt_example noun_alias_v1 asmr_verb_classes_en documents eval_item part orders customer lineitem events embeddings").split():
@@ -367,3 +368,28 @@ def test_core_without_llm_package(spark, monkeypatch):
     monkeypatch.setattr(importlib, "import_module", gone)
     assert "mc_score_runs" in entry.queries() and not any(k.startswith("p1_") for k in entry.queries())
     assert real is builtins.__import__
+
+
+def test_verb_padding(spark):
+    pool = {"tapping": "strike", "patting": "strike", "drumming": "strike", "rubbing": "slide", "pouring": "liquid", "odd": None}
+    q = spark.createDataFrame([("q1", "tapping", ["tapping"]), ("q2", "tapping", ["tapping", "drumming"]), ("q3", "odd", ["odd"]), ("q4", "absent", ["absent"])], "qid string, gold string, grp array<string>")
+    show = lambda distant: {k: {(r.value, r.source) for r in bank.verb_options(q, pool, "qid", "gold", "grp", distant).collect() if r.qid == k} for k in ("q1", "q2", "q3", "q4")}
+    near = show(False)
+    assert near["q1"] == {("tapping", "target"), ("drumming", "near_pool"), ("patting", "near_pool"), ("odd", "near_pool")}
+    # two places are free, one of the two nearest verbs is in the group already
+    assert near["q2"] == {("tapping", "target"), ("drumming", "same_group"), ("patting", "near_pool")}
+    far = show(True)
+    h = lambda v: hashlib.md5(f"q1:vpad:{v}".encode()).hexdigest()
+    assert far["q1"] == {("tapping", "target")} | {(v, "distant_pool") for v in ["odd", "pouring", "rubbing"]} and len(far["q4"]) == 4
+    order = [r.value for r in bank.verb_options(q.where("qid = 'q1'"), pool, "qid", "gold", "grp", True).orderBy("label").collect()]
+    assert order == sorted(order, key=lambda v: hashlib.md5(f"q1:{v}".encode()).hexdigest()) and h("odd")
+
+
+def test_material_group_ids(spark):
+    c = spark.createDataFrame([("a", "k", "wood"), ("b", "k", "glass"), ("c", "k", "textile_fibrous"), ("d", "k", "wax"), ("e", "j", "wood"), ("f", "j", "glass"), ("g", "i", "wood"), ("h", "i", "wax")], "item string, key string, m string")
+    g = bank.material_groups(c, "om", ["key"], "m", "item")
+    assert sorted((r.group_id, tuple(r.subset)) for r in g.collect()) == [("om__j", ("glass", "wood")), ("om__k__dglass-textile-fibrous-wax", ("glass", "textile_fibrous", "wax")), ("om__k__dglass-textile-fibrous-wood", ("glass", "textile_fibrous", "wood"))]
+    one = bank.tier_one(c, g, ["key"], "subset", "m", "item").orderBy("question_id").collect()
+    assert [(r.question_id, r["item"], r.gold) for r in one][:2] == [("om__j__inst0", "e", "wood"), ("om__j__inst1", "f", "glass")]
+    two = bank.tier_two(c, spark.createDataFrame(one), "t2_om", "m", "item").collect()
+    assert {r.question_id for r in two} == {"t2_om__g", "t2_om__h"}
