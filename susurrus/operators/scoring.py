@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import none_if_empty, stripped
+
 #: The tasks that the macro average knows.
 TASKS = ["verb_mc", "subject_material_mc", "object_material_mc"]
 
@@ -90,3 +92,63 @@ def cohen_kappa(pairs: DataFrame, keys: list[str], left: str, right: str) -> Dat
     x = whole.join(chance, keys, "left")
     x = x.withColumn("observed", F.col("same") / F.col("n")).withColumn("expected", F.coalesce(F.col("ab"), F.lit(0)) / (F.col("n") * F.col("n")))
     return x.select(*keys, "n", "observed", "expected", F.when(F.abs(1 - F.col("expected")) <= 1e-9, F.when(F.col("observed") >= 1, 1.0).otherwise(0.0)).otherwise((F.col("observed") - F.col("expected")) / (1 - F.col("expected"))).alias("kappa"))
+
+
+def first_token(tokens):
+    """The first token (struct token, logprob, top_logprobs) that isn't blank, of an array; null if there is none."""
+    return F.get(F.filter(tokens, lambda t: stripped(F.coalesce(t["token"], F.lit(""))) != ""), 0)
+
+
+#: What a letter scores that no token gives.
+MISSING = -1e9
+
+
+def letter_scores(df: DataFrame, key: str, tokens: str, letters: list[str]) -> DataFrame:
+    """Rows (key, letter, rank, score): for each valid letter the greatest log probability that the first non-blank token or
+    one of its alternatives gives it (trimmed, in upper case), MISSING where none does. All letters of a row come from the
+    row itself: nothing is shuffled."""
+    first = df.select(key, first_token(F.col(tokens)).alias("t"))
+    own = F.struct(F.col("t.token").alias("token"), F.col("t.logprob").alias("logprob"))
+    others = F.transform(F.coalesce("t.top_logprobs", F.array().cast("array<struct<token:string,logprob:double>>")), lambda c: F.struct(c["token"].alias("token"), c["logprob"].alias("logprob")))
+    x = first.withColumn("c", F.concat(others, F.array(own)))
+    given = lambda letter: F.array_max(F.transform(F.filter("c", lambda c: F.upper(stripped(c["token"])) == letter), lambda c: c["logprob"]))
+    scored = F.array(*[F.struct(F.lit(c).alias("letter"), F.lit(i).alias("rank"), F.coalesce(given(c), F.lit(MISSING)).alias("score")) for i, c in enumerate(letters)])
+    return x.select(key, F.explode(scored).alias("s")).select(key, "s.*")
+
+
+def task_accuracy(questions: DataFrame, predictions: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (task, n, accuracy) over all runs of the questions in `ids` (question_id); a missing prediction and a missing
+    gold label are equal, a missing task is `unknown`."""
+    x = questions.join(ids.select("question_id").distinct(), "question_id", "left_semi").select("question_id", F.coalesce("task", F.lit("unknown")).alias("task"), "gold_label")
+    y = x.join(predictions.select("run_id", "question_id", "pred"), "question_id")
+    clean = lambda c: none_if_empty(F.upper(stripped(F.col(c))))
+    return y.groupBy("task").agg(F.count("*").alias("n"), F.avg(clean("pred").eqNullSafe(clean("gold_label")).cast("int")).alias("accuracy"))
+
+
+def entity_summary(stages: DataFrame, keys: list[str], stage: str, settled: str | None = None) -> DataFrame:
+    """Rows (keys, n, strict_correct, strict_accuracy, alias_correct, alias_accuracy, resolved_correct, resolved_accuracy,
+    unresolved): matches as written, through aliases as well, and with those that `settled` (a boolean of the open rows,
+    from a judge outside) adds."""
+    more = F.count_if(F.col(stage).isNull() & F.coalesce(F.col(settled), F.lit(False))) if settled else F.lit(0).cast("long")
+    x = stages.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.col(stage) == "strict").alias("strict_correct"), F.count_if(F.col(stage).isin("strict", "alias")).alias("alias_correct"), more.alias("more"))
+    x = x.withColumn("resolved_correct", F.col("alias_correct") + F.col("more"))
+    rate = lambda c: F.round(F.col(c) / F.col("n"), 6)
+    return x.select(*keys, "n", *[y for c in ("strict", "alias", "resolved") for y in (f"{c}_correct", rate(f"{c}_correct").alias(f"{c}_accuracy"))], (F.col("n") - F.col("alias_correct")).alias("unresolved"))
+
+
+def match_stage(left, right, left_group, right_group):
+    """`strict` for equal normalised texts (null equals null), `alias` for texts of one group, else null."""
+    return F.when(left.eqNullSafe(right), "strict").when(left_group == right_group, "alias")
+
+
+def not_in_bank(subset: DataFrame, bank: DataFrame, key: str) -> DataFrame:
+    """The distinct keys of a subset that the bank doesn't have; null and empty keys don't count."""
+    return subset.where(F.coalesce(F.col(key), F.lit("")) != "").select(key).distinct().join(bank.select(key), key, "left_anti")
+
+
+def restrict(bank: DataFrame, subset: DataFrame, key: str, preview: int = 5) -> DataFrame:
+    """The rows of the bank whose key is in the subset; keys of the subset that the bank doesn't have are an error."""
+    bad = [x[key] for x in not_in_bank(subset, bank, key).orderBy(key).limit(preview).collect()]
+    if bad:
+        raise ValueError(f"keys of the subset that aren't in the bank, such as {bad}")
+    return bank.join(subset.select(key).distinct(), key, "left_semi")
