@@ -48,3 +48,31 @@ def presence(sources: dict[str, DataFrame]) -> DataFrame:
         tagged = x if tagged is None else tagged.unionByName(x)
     out = tagged.where("id is not null").groupBy("id").agg(*[F.max(k).alias(k) for k in sources])
     return out.withColumn("n", sum((F.col(k) for k in sources), F.lit(0)))
+
+
+def aligned(sources: dict[str, DataFrame], strict: bool = True) -> DataFrame:
+    """Rows (id): the ids that every source (frames of one column) has. If `strict`, ids that only some have are an error;
+    no common id is one always."""
+    x = presence(sources)
+    n = x.agg(F.count("*").alias("all"), F.count_if(F.col("n") == len(sources)).alias("common"), *[F.sum(k).alias(k) for k in sources]).first()
+    if strict and n["all"] != n["common"]:
+        raise ValueError("ids differ: " + ", ".join(f"{k}={n[k]}" for k in sources) + f", common={n['common']}")
+    if not n["common"]:
+        raise ValueError("no common ids")
+    return x.where(F.col("n") == len(sources)).select("id")
+
+
+def model_files(labels: DataFrame, models: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows (audio_id, model, path, there): the file that each model (id, audio_dir, filename with {audio_id}) should have for
+    each label (audio_id), and whether it is among `files` (path). Models are few: their list goes to each label as a literal,
+    and the paths are one equi-join with the listing."""
+    known = F.array(*[F.struct(F.lit(r["id"]).alias("model"), F.lit(r["audio_dir"].rstrip("/")).alias("dir"), F.lit(r["filename"]).alias("name")) for r in models.orderBy("id").collect()])
+    x = labels.select("audio_id", F.explode(known).alias("m"))
+    x = x.select("audio_id", "m.model", F.concat("m.dir", F.lit("/"), F.replace(F.col("m.name"), F.lit("{audio_id}"), F.col("audio_id"))).alias("path"))
+    have = files.select("path").distinct().withColumn("there", F.lit(True))
+    return x.join(have, "path", "left").select("audio_id", "model", "path", F.coalesce("there", F.lit(False)).alias("there"))
+
+
+def usable(of_models: DataFrame) -> DataFrame:
+    """Rows (audio_id): the labels for which every model has its file."""
+    return of_models.groupBy("audio_id").agg(F.bool_and("there").alias("all")).where("all").select("audio_id")

@@ -28,3 +28,25 @@ def kept_details(df: DataFrame, stage: str, order: str, most: int = 200) -> Data
 def usage(df: DataFrame, stage: str, values: list[str]) -> DataFrame:
     """Sums of the values and the number of calls by stage, and over all (null stage), in one rollup."""
     return df.rollup(stage).agg(*[F.sum(v).alias(v) for v in values], F.count("*").alias("calls"))
+
+
+def payload(df: DataFrame, stage: str, status: str, item: str, reason: str, detail_of: str, most: int = 200) -> dict:
+    """What a run came to, as one document: counts by status and reason, and the first `most` failures.
+
+    Failed rows (`failed`, `error`) without a reason get the class of their detail. Counts come from one aggregation; the
+    driver gets one row a status and reason and at most `most` failures.
+    """
+    bad = F.col("s").isin("failed", "error")
+    x = df.select(F.lower(F.trim(F.col(status))).alias("s"), F.col(item).cast("string").alias("item_id"), none_if_empty(F.trim(F.col(reason))).alias("given"), F.col(detail_of).alias("d"))
+    x = x.withColumn("reason", F.coalesce("given", F.when(bad, failure_reason(F.col("d"))))).withColumn("detail", detail(F.col("d")))
+    counts, reasons = {}, {}
+    for r in x.groupBy("s", "reason").agg(F.count("*").alias("n")).collect():
+        counts[r["s"]] = counts.get(r["s"], 0) + r["n"]
+        if r["reason"]:
+            reasons[r["reason"]] = reasons.get(r["reason"], 0) + r["n"]
+    failures = [{k: v for k, v in r.asDict().items() if v} for r in x.where(bad).select("reason", F.substring(F.coalesce("item_id", F.lit("")), 1, 200).alias("item_id"), "detail").orderBy("item_id").limit(most).collect()]
+    failed = counts.get("failed", 0) + counts.get("error", 0)
+    return {
+        "stage": stage, "total": sum(counts.values()), "counts": dict(sorted(counts.items())), "successful": counts.get("success", 0), "failed": failed, "skipped": counts.get("skipped", 0),
+        "failure_reasons": dict(sorted(reasons.items())), "failures": failures, "dropped_failure_details": failed - len(failures),
+    }

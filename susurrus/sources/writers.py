@@ -2,18 +2,112 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+import uuid
+from collections.abc import Iterable, Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.release import greedy_shards
+from .readers import LEDGER
+from .tables import cut
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, parts: Iterable[str]) -> None:
+    """Writes one file from its parts and renames it into place, so a reader sees the old file or the whole new one."""
+    at, fs = _fs(spark, path)
+    temporary = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.tmp")
+    out = fs.create(temporary, True)
+    for p in parts:
+        out.write(bytearray(p.encode()))
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(temporary, at):
+        raise OSError(f"can't rename into {path}")
+
+
+def write_document(df: DataFrame, path: str, key: str = "data", **facts: str) -> None:
+    """Writes the rows as one JSON document `{facts, key: [...]}`, streamed through the driver partition by partition."""
+    spark = df.sparkSession
+    rows = (r[0] for r in df.select(F.to_json(F.struct(*df.columns))).toLocalIterator())
+
+    def parts() -> Iterator[str]:
+        yield "{" + "".join(f"{json.dumps(k)}: {json.dumps(v)}, " for k, v in facts.items()) + f"{json.dumps(key)}: [\n"
+        for k, row in enumerate(rows):
+            yield (",\n" if k else "") + row
+        yield "\n]}\n"
+
+    write_text(spark, path, parts())
+
+
+def write_shards(df: DataFrame, path: str, split: str, order: list[str], size: str, target_bytes: int, resume: bool = True) -> DataFrame:
+    """Writes `df` as zstd Parquet files `split-00000-of-000NN.parquet`, one a greedy shard, and returns (name, rows, written).
+
+    With `resume`, a file that is there with as many rows as its shard has is kept. Others are written to a folder beside,
+    their rows counted from the files, and renamed into place only if the counts agree. A shard is written by one task; the
+    driver sees one row a shard.
+    """
+    spark = df.sparkSession
+    parts = cut(greedy_shards(df.select(*order, size), order, size, target_bytes).select(*order, "shard"))
+    want = {r["shard"]: r["n"] for r in parts.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    names = {k: f"{split}-{k:05d}-of-{len(want):05d}.parquet" for k in want}
+    folder, fs = _fs(spark, path)
+    fs.mkdirs(folder)
+    rows_of = lambda name: spark.read.parquet(f"{path}/{name}").count()
+    todo = [k for k in sorted(want) if not (resume and fs.exists(_fs(spark, f"{path}/{names[k]}")[0]) and rows_of(names[k]) == want[k])]
+    beside = f"{path}/.writing-{uuid.uuid4().hex}"
+    if todo:
+        x = df.join(parts.where(F.col("shard").isin(todo)), order)
+        x.repartition(len(todo), "shard").sortWithinPartitions("shard", *order).write.option("compression", "zstd").partitionBy("shard").parquet(beside)
+        for k in todo:
+            files = [s.getPath() for s in fs.listStatus(_fs(spark, f"{beside}/shard={k}")[0]) if s.getPath().getName().endswith(".parquet")]
+            if len(files) != 1 or spark.read.parquet(files[0].toString()).count() != want[k]:
+                raise RuntimeError(f"rows of {names[k]} don't agree")
+            to = _fs(spark, f"{path}/{names[k]}")[0]
+            fs.delete(to, False)
+            if not fs.rename(files[0], to):
+                raise OSError(f"can't rename into {names[k]}")
+        fs.delete(_fs(spark, beside)[0], True)
+    return spark.createDataFrame([(names[k], want[k], k in todo) for k in sorted(want)], "name string, rows long, written boolean")
+
+
+def write_metadata(df: DataFrame, path: str, audio: str = "audio") -> None:
+    """JSON lines of the rows with the audio's base name in place of its path."""
+    df.withColumn(audio, F.regexp_extract(audio, r"([^/]*)$", 1)).write.mode("overwrite").json(path)
+
+
+def write_frequencies(df: DataFrame, value: str, path: str) -> None:
+    """Values and counts as tab-separated text, the most frequent first."""
+    frequency_table(df, value).write.mode("overwrite").option("sep", "\t").csv(path)
+
+
+def write_table(df: DataFrame, path: str, **options) -> None:
+    """CSV with a header; a table without rows is a file of its header."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').options(**options).csv(path)
+
+
+def append_ledger(df: DataFrame, path: str) -> None:
+    """Appends rows (columns LEDGER) to a ledger."""
+    df.select(*LEDGER).fillna("").write.mode("append").option("header", True).option("escape", '"').csv(path)
+
+
+def timeline_line(marks: Column, titles: Column) -> Column:
+    """The marks and titles of a timeline (arrays in order) in one line, `mark title | mark title`."""
+    parts = F.zip_with(marks, titles, lambda m, t: F.trim(F.concat_ws(" ", m, F.when(t != "", t))))
+    return F.array_join(parts, " | ")
 
 
-def write_shards(df: DataFrame, path: str, order: list[str], size: str, target_bytes: int) -> DataFrame:
-    """Writes `df` as zstd Parquet, one folder a greedy shard, and returns (shard, rows). A folder is written by one task."""
-    parts = greedy_shards(df.select(*order, size), order, size, target_bytes).select(*order, "shard")
-    whole = df.join(parts, order)
-    whole.repartitionByRange("shard").sortWithinPartitions("shard", *order).write.mode("overwrite").option("compression", "zstd").partitionBy("shard").parquet(path)
-    return df.sparkSession.read.parquet(path).groupBy("shard").agg(F.count("*").alias("rows"))
+def purge(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that agree with no row of `gone` in any one of `keys` (an anti-join for each; nulls agree with nothing)."""
+    for k in keys:
+        rows = rows.join(gone.where(F.col(k).isNotNull()).select(k).distinct(), k, "left_anti")
+    return rows
 
 
 def timeline_cells(df: DataFrame, key: list[str], order: str, start: str, end: str) -> DataFrame:

@@ -15,7 +15,8 @@ from susurrus.functions import text as X
 from susurrus.functions import times as T
 from susurrus.operators import audio, bank, embeddings, matching, providers, release, runlog, sampling, scoring, segmentation, timelines
 from susurrus.plans import bank as bank_plans
-from susurrus.plans import more, reference
+from susurrus.plans import io as io_plans
+from susurrus.plans import more, records, reference
 from susurrus.sources import readers, writers
 from susurrus.streaming import incremental
 
@@ -33,7 +34,7 @@ def plain(v):
     return float(v) if type(v).__name__ == "Decimal" else v
 
 
-@pytest.mark.parametrize("name", sorted(reference.ORACLES | more.ORACLES | bank_plans.ORACLES) + ["p3_found", "p3_coverage"])
+@pytest.mark.parametrize("name", sorted(reference.ORACLES | more.ORACLES | bank_plans.ORACLES | records.ORACLES | io_plans.ORACLES) + ["p3_found", "p3_coverage"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("timeline segment_label_parse train_events train_label manual_gt_example noun_alias_v1 asmr_verb_classes_en documents eval_item part orders customer lineitem events embeddings").split():
@@ -316,8 +317,14 @@ def test_readers_and_writers(spark, tmp_path):
     p = spark.createDataFrame([(1, "q", " a ", None, 0), (1, "q", None, "b", 1), (1, "r", None, " ", 2)], "run int, q string, pred_label string, pred string, at int")
     assert [(r.question_id, r.pred) for r in readers.predictions(p, "run", "q", "at").collect()] == [("q", "B")]
     rows = spark.createDataFrame([(i, 4) for i in range(7)], "id int, size int")
-    n = writers.write_shards(rows, str(tmp_path / "out"), ["id"], "size", 8)
-    assert sorted((r.shard, r["rows"]) for r in n.collect()) == [(0, 2), (1, 2), (2, 2), (3, 1)]
+    shards = lambda **k: [(r["name"], r["rows"], r.written) for r in writers.write_shards(rows, str(tmp_path / "out"), "train", ["id"], "size", 8, **k).orderBy("name").collect()]
+    assert shards() == [(f"train-{i:05d}-of-00004.parquet", 2 if i < 3 else 1, True) for i in range(4)]
+    (tmp_path / "out" / "train-00001-of-00004.parquet").unlink()
+    (tmp_path / "out" / ".train-00002-of-00004.parquet.crc").unlink(missing_ok=True)
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "other"))
+    next((tmp_path / "other").glob("part-*")).rename(tmp_path / "out" / "train-00002-of-00004.parquet")  # there, with other rows
+    assert [w for *_, w in shards()] == [False, True, True, False] and [w for *_, w in shards(resume=False)] == [True] * 4
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(7))
     (tmp_path / "dis.txt").write_text("intro\ntapping_class — hits\n- one\n- two\nslide — x\n- three\n")
     assert {r.verb_class: r.rules for r in readers.disambiguation(spark, str(tmp_path / "dis.txt")).collect()} == {"tapping_class": ["- one", "- two"], "slide": ["- three"]}
 
@@ -393,3 +400,85 @@ def test_material_group_ids(spark):
     assert [(r.question_id, r["item"], r.gold) for r in one][:2] == [("om__j__inst0", "e", "wood"), ("om__j__inst1", "f", "glass")]
     two = bank.tier_two(c, spark.createDataFrame(one), "t2_om", "m", "item").collect()
     assert {r.question_id for r in two} == {"t2_om__g", "t2_om__h"}
+
+
+def test_scans_refuse_what_is_wrong(spark, tmp_path):
+    for models, why in (([{"id": "a b", "audio_dir": "x"}], "invalid"), ([{"id": "a", "audio_dir": "x"}] * 2, "repeated"), ([{"id": "a"}], "without audio_dir")):
+        (tmp_path / "m.json").write_text(__import__("json").dumps(models))
+        with pytest.raises(Exception, match=why):
+            readers.model_registry(spark, str(tmp_path / "m.json")).collect()
+    (tmp_path / "l.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    assert [(r.a, r.line_no) for r in readers.numbered_json_lines(spark, str(tmp_path / "l.jsonl"), "a int").collect()] == [(1, 1), (2, 3)]
+    for bad in ("[1]", "no"):
+        (tmp_path / "b.jsonl").write_text('{"a": 1}\n' + bad)
+        with pytest.raises(Exception, match=r"b\.jsonl:2"):
+            readers.numbered_json_lines(spark, str(tmp_path / "b.jsonl"), "a int").collect()
+    assert readers.ledger(spark, str(tmp_path / "none")).columns == readers.LEDGER and readers.ledger(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "u.txt").write_text("# all\n\n https://a \nhttps://b")
+    assert [r.url for r in readers.url_list(spark, str(tmp_path / "u.txt")).collect()] == ["https://a", "https://b"]
+    assert readers.marked_prompt("# note\n### SYSTEM\nBe brief.\n#x\n### USER\nSay {X}.\n") == ("Be brief.", "Say {X}.")
+    with pytest.raises(ValueError, match="USER"):
+        readers.marked_prompt("x")
+    (tmp_path / "list.json").write_text('{"nothing": []}')
+    with pytest.raises(Exception, match="no list of rows"):
+        readers.json_rows(spark, str(tmp_path / "list.json"), "struct<a:int>", required=True).collect()
+    a = spark.createDataFrame([("x", "1", 0), ("X ", "2", 1), ("y", " ", 2)], "alias string, grp string, at int")
+    assert [tuple(r) for r in readers.last_alias(a, "alias", "grp", "at").collect()] == [("x", "2")]
+
+
+def test_subsets_and_manifests(spark):
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
+    bank_ = ids("a", "b", "c", "c")
+    assert sorted(r.id for r in scoring.restrict(bank_, ids("c", "a", "", None), "id").collect()) == ["a", "c", "c"]
+    with pytest.raises(ValueError, match="x"):
+        scoring.restrict(bank_, ids("a", "x"), "id")
+    assert [r.id for r in matching.aligned({"r": ids("a", "b"), "c": ids("b", "a"), "g": ids("a", "b")}).orderBy("id").collect()] == ["a", "b"]
+    with pytest.raises(ValueError, match="ids differ: r=2, c=1, g=2, common=1"):
+        matching.aligned({"r": ids("a", "b"), "c": ids("a"), "g": ids("a", "b")})
+    assert [r.id for r in matching.aligned({"r": ids("a", "b"), "c": ids("a"), "g": ids("a", "b")}, strict=False).collect()] == ["a"]
+    with pytest.raises(ValueError, match="no common"):
+        matching.aligned({"r": ids("a"), "c": ids("b")}, strict=False)
+
+
+def test_letter_scores(spark):
+    schema = "k int, tokens array<struct<token:string,logprob:double,top_logprobs:array<struct<token:string,logprob:double>>>>"
+    rows = [(1, [(" ", -9.0, None), ("b", -0.5, [(" B", -0.2), ("a", -3.0), ("x", -0.1), ("A ", -2.0), ("C", None)])]), (2, None), (3, [("\n", 0.0, None)]), (4, [("D", -1.0, None), ("A", 0.0, None)])]
+    got = {(r.k, r.letter): r.score for r in scoring.letter_scores(spark.createDataFrame(rows, schema), "k", "tokens", list("ABCD")).collect()}
+    assert [got[1, c] for c in "ABCD"] == [-2.0, -0.2, scoring.MISSING, scoring.MISSING]
+    assert {got[k, c] for k in (2, 3) for c in "ABCD"} == {scoring.MISSING} and [got[4, c] for c in "AD"] == [scoring.MISSING, -1.0]
+
+
+def test_task_accuracy_counts_two_nulls_as_equal(spark):
+    q = spark.createDataFrame([("1", "verb_mc", "a"), ("2", None, None), ("3", "verb_mc", "B")], "question_id string, task string, gold_label string")
+    p = spark.createDataFrame([(1, "1", "A "), (2, "1", "b"), (1, "2", None), (2, "2", "A"), (1, "3", "B")], "run_id int, question_id string, pred string")
+    got = {r.task: (r.n, r.accuracy) for r in scoring.task_accuracy(q, p, spark.createDataFrame([("1",), ("2",)], "question_id string")).collect()}
+    assert got == {"verb_mc": (2, 0.5), "unknown": (2, 0.5)}
+
+
+def test_record_functions(spark):
+    from susurrus.functions import records as R
+
+    assert one(spark, *[R.file_number(F.col(c)) for c in "abcd"], a=12.5, b=3.0, c=0.0000001, d=465783.355) == ("12p5", "3", "0", "465783p355")
+    assert one(spark, *[R.section(F.col(a), F.col(b)) for a, b in ("ab", "cd", "ba")], a=1.0, b=1.01, c=59.5, d=3725.25) == ("*1-1.05", "*59.5-1:02:5.25", None)
+    assert one(spark, *[R.video_of_url(F.col(c)) for c in "abc"], a="https://x/watch?a=1&v=Ab_1&t=2", b="https://x/v=1", c=None) == ("Ab_1", None, None)
+    assert one(spark, R.video_of_ledger(F.col("a"), F.col("b")), R.video_of_ledger(F.col("a"), F.col("c")), a="", b="d\\audio\\vid\\vid.wav", c="x.wav") == ("vid", "")
+    assert one(spark, *[R.svo_field(F.col(c), True) for c in "abcde"], a=" NULL ", b="Fail", c="Left_Hand", d=" ", e=None) == (None, "fail", "hands", None, None)
+    assert one(spark, R.model_slug(F.col("a")), R.model_slug(F.col("b")), a="Org/Some-Model.V2", b="Org/-") == ("somemodelv2", "model")
+    assert one(spark, R.relative_path(F.col("a"), "audio/train", "/data/t"), R.relative_path(F.col("b"), "audio/train", "/data/t"), R.relative_path(F.col("c"), "p"), R.base_path(F.col("a"), "q"), a="/data/t/v/1.wav", b="/x/splitted/v/2.wav", c="/x/3.wav") == ("audio/train/v/1.wav", "audio/train/v/2.wav", "p/3.wav", "q/1.wav")
+    assert one(spark, R.filled(F.col("a"), {"X": F.col("b"), "Y": F.col("c")}), a="{X}-{Y}-{Z}", b="1", c=None) == ("1--{Z}",)
+    assert one(spark, R.title_has(F.col("a"), R.keywords(" Preview, intro ,,preview")), R.title_has(F.col("b"), ["x"]), a="My PREVIEW", b=None) == (True, False) and R.keywords("A, a") == ["a"]
+    assert one(spark, R.json_object(F.col("a"), "x int"), R.json_object(F.col("b"), "x int"), R.json_object(F.col("c"), "x int"), a='```json\n{"x": 1}\n```', b='[{"x": 1}]', c='{"x": ') == ((1,), None, None)
+    with pytest.raises(Exception, match="neither audio id nor wav"):
+        one(spark, R.manifest_id(F.col("a"), F.col("b")), a=" ", b=None)
+    with pytest.raises(Exception, match="no identifier"):
+        one(spark, R.preferred_id(matching.identifiers(F.col("a"))), a=" ")
+    assert one(spark, R.pair_key(F.col("a"), F.col("b")) == R.pair_key(F.col("c"), F.col("d")), a="A_b", b=None, c="a  b", d=" ") == (True,)
+    p = one(spark, R.hashed_point(F.col("s"), F.col("a"), F.col("b")), a=2.0, b=4.0, s="k")[0]
+    assert 2.0 <= p <= 4.0
+
+
+def test_run_payload(spark):
+    rows = [("Success", "1", None, None), ("failed", "2", "", "HTTP 429"), ("error", "3", "mine", "x"), ("failed", "4", None, "?"), ("skipped", "5", "late", None)]
+    got = runlog.payload(spark.createDataFrame(rows, "status string, id string, reason string, text string"), "s", "status", "id", "reason", "text", most=2)
+    assert (got["total"], got["successful"], got["failed"], got["skipped"], got["dropped_failure_details"]) == (5, 1, 3, 1, 1)
+    assert got["failure_reasons"] == {"late": 1, "mine": 1, "rate_limit": 1, "unknown": 1} and [f["reason"] for f in got["failures"]] == ["rate_limit", "mine"]
