@@ -15,6 +15,7 @@ from susurrus.functions import text as X
 from susurrus.functions import times as T
 from susurrus.operators import audio, bank, embeddings, matching, providers, release, runlog, sampling, scoring, segmentation, timelines
 from susurrus.plans import bank as bank_plans
+from susurrus.plans import collection
 from susurrus.plans import io as io_plans
 from susurrus.plans import more, records, reference
 from susurrus.sources import readers, writers
@@ -34,7 +35,7 @@ def plain(v):
     return float(v) if type(v).__name__ == "Decimal" else v
 
 
-@pytest.mark.parametrize("name", sorted(reference.ORACLES | more.ORACLES | bank_plans.ORACLES | records.ORACLES | io_plans.ORACLES) + ["p3_found", "p3_coverage"])
+@pytest.mark.parametrize("name", sorted(reference.ORACLES | more.ORACLES | bank_plans.ORACLES | records.ORACLES | io_plans.ORACLES | collection.ORACLES) + ["p3_found", "p3_coverage"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("timeline segment_label_parse train_events train_label manual_gt_example noun_alias_v1 asmr_verb_classes_en documents eval_item part orders customer lineitem events embeddings").split():
