@@ -52,3 +52,30 @@ def frechet(a: DataFrame, b: DataFrame, vector: str) -> float:
     root = (v * np.sqrt(np.clip(w, 0, None))) @ v.T
     inner = np.sqrt(np.clip(np.linalg.eigvalsh(root @ c2 @ root), 0, None)).sum()
     return float(((m1 - m2) ** 2).sum() + np.trace(c1) + np.trace(c2) - 2 * inner)
+
+
+def divergence(p: Column, q: Column, eps: float = 1e-6) -> Column:
+    """Kullback-Leibler divergence of two discrete distributions (arrays), each value at least `eps`."""
+    safe = lambda x: F.greatest(x.cast("double"), F.lit(eps))
+    return F.aggregate(F.zip_with(p, q, lambda a, b: safe(a) * F.log(safe(a) / safe(b))), F.lit(0.0), lambda s, x: s + x)
+
+
+def softmax(scores: Column) -> Column:
+    """Scores (array) as a distribution."""
+    top = F.array_max(F.transform(scores, lambda x: x.cast("double")))
+    e = F.transform(scores, lambda x: F.exp(x.cast("double") - top))
+    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
+
+
+def inception_score(df: DataFrame, distribution: str) -> DataFrame:
+    """One row (n, score): exp of the mean divergence of each row's distribution from the mean of all. The mean is a small row
+    that goes to every task; sums are pre-aggregated."""
+    mean = centroids(df.withColumn("__one", F.lit(1)), "__one", distribution)
+    x = df.select(distribution).withColumn("__one", F.lit(1)).join(F.broadcast(mean), "__one")
+    return x.agg(F.count("*").alias("n"), F.exp(F.avg(divergence(F.col(distribution), F.col("centroid")))).alias("score"))
+
+
+def paired_divergence(reference: DataFrame, generated: DataFrame, key: str, distribution: str) -> DataFrame:
+    """One row (n, divergence): the mean divergence of the reference's from the generated distribution of the same key."""
+    x = reference.select(key, F.col(distribution).alias("__p")).join(generated.select(key, F.col(distribution).alias("__q")), key)
+    return x.agg(F.count("*").alias("n"), F.avg(divergence(F.col("__p"), F.col("__q"))).alias("divergence"))

@@ -168,12 +168,42 @@ def pelt_rbf(x: np.ndarray, penalty: float, least: int = 2) -> list[int]:
     return out[::-1]
 
 
-def change_points(df: DataFrame, key: str, order: list[str], features: list[str], penalty: float = 3.0, least: int = 5) -> DataFrame:
+def binary_rbf(x: np.ndarray, cuts: int, least: int = 2) -> list[int]:
+    """Ends of the segments that `cuts` greedy cuts leave: each time the cut that lowers the kernel cost (as in `pelt_rbf`) the
+    most, segments of `least` rows or more. Fewer cuts where none is possible. Quadratic memory in the rows."""
+    n = len(x)
+    median = median_square(x)
+    gamma = 1 / median if median else 1.0
+    # running sums over the upper triangle: block(a, b) = sum of the kernel over rows and columns a..b
+    kernel = np.exp(-gamma * ((x[:, None, :] - x[None]) ** 2).sum(2)) if n else np.zeros((0, 0))
+    sums = np.zeros((n + 1, n + 1))
+    sums[1:, 1:] = kernel.cumsum(0).cumsum(1)
+    cost = lambda a, b: (b - a) - (sums[b, b] - sums[a, b] - sums[b, a] + sums[a, a]) / (b - a)
+    bounds = [0, n]
+    for _ in range(cuts):
+        best = None
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            for t in range(a + least, b - least + 1):
+                gain = cost(a, b) - cost(a, t) - cost(t, b)
+                if best is None or gain > best[0] + 1e-12:
+                    best = (gain, t)
+        if best is None:
+            break
+        bounds = sorted([*bounds, best[1]])
+    return bounds[1:]
+
+
+def change_points(df: DataFrame, key: str, order: list[str], features: list[str], penalty: float = 3.0, least: int = 5, method: str = "pelt", cuts: int | None = None) -> DataFrame:
     """Rows (key, segment, first, last): change points of the standardised features of each key.
 
+    `method` is "pelt" or "kernel" (the exact optimum under `penalty`; both are the same search here) or "binary" (`cuts`
+    greedy cuts, which must be given; quadratic memory in the rows of a key).
+
     A key is standardised and searched as a whole in one task, whatever its rows: memory is linear in them, time up to
     quadratic where nothing changes. Rows with null features are left out.
     """
+    if method not in ("pelt", "kernel", "binary") or (method == "binary" and cuts is None):
+        raise ValueError("method is pelt, kernel, or binary with a number of cuts")
     known = df.where(" and ".join(f"`{f}` is not null" for f in features)).select(key, *order, *features)
     x = numbered(known, [key], order, "row").select(key, *features, F.col("row").cast("int").alias("row"))
 
@@ -181,7 +211,8 @@ def change_points(df: DataFrame, key: str, order: list[str], features: list[str]
         pdf = pdf.sort_values("row")
         v = pdf[features].to_numpy(float)
         med, iqr = np.median(v, 0), np.subtract(*np.percentile(v, [75, 25], 0))
-        ends = pelt_rbf((v - med) / (iqr + 1e-8), penalty, least)
+        scaled = (v - med) / (iqr + 1e-8)
+        ends = binary_rbf(scaled, cuts, least) if method == "binary" else pelt_rbf(scaled, penalty, least)
         row = pdf["row"].to_numpy()
         return pd.DataFrame({key: pdf[key].iloc[0], "segment": range(len(ends)), "first": row[[0, *ends[:-1]]], "last": row[[e - 1 for e in ends]]})
 

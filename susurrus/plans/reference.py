@@ -580,6 +580,24 @@ def frechet_distance(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([("even_odd", embeddings.frechet(e.where("label % 2 = 0"), e.where("label % 2 = 1"), "embedding"))], "pair string, distance double")
 
 
+_SOFT = """
+e AS (SELECT vec_id, label, list_transform(embedding, lambda x: exp(CAST(x AS DOUBLE) - CAST(list_max(embedding) AS DOUBLE))) AS v FROM embeddings), s AS (SELECT vec_id, label, list_transform(v, lambda x: x / list_sum(v)) AS p FROM e),
+l AS (SELECT vec_id, label, unnest(p) AS p, unnest(range(len(p))) AS i FROM s)
+"""
+
+
+@query(f"""
+WITH {_SOFT}, m AS (SELECT i, avg(p) AS q FROM l GROUP BY i), k AS (SELECT vec_id, sum(greatest(p, 1e-6) * ln(greatest(p, 1e-6) / greatest(q, 1e-6))) AS kl FROM l JOIN m USING (i) GROUP BY vec_id),
+r AS (SELECT a.vec_id, sum(greatest(a.p, 1e-6) * ln(greatest(a.p, 1e-6) / greatest(b.p, 1e-6))) AS kl FROM l a JOIN l b ON b.vec_id = a.vec_id + 1 AND b.i = a.i GROUP BY a.vec_id)
+SELECT 'inception' AS metric, count(*) AS n, round(exp(avg(kl)), 6) AS value FROM k UNION ALL SELECT 'divergence', count(*), round(avg(kl), 6) FROM r""")
+def distribution_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Inception score of the vectors' distributions, and the mean divergence of each from that of the next."""
+    p = cut(table(spark, d, "embeddings").select("vec_id", embeddings.softmax(F.col("embedding")).alias("p")))
+    a = embeddings.inception_score(p, "p").select(F.lit("inception").alias("metric"), "n", r6("score").alias("value"))
+    b = embeddings.paired_divergence(p, p.select((F.col("vec_id") - 1).alias("vec_id"), "p"), "vec_id", "p").select(F.lit("divergence").alias("metric"), "n", r6("divergence").alias("value"))
+    return a.unionByName(b)
+
+
 @query(r"""
 SELECT line_id, regexp_matches(coalesce(title, ''), '[\x{3040}-\x{309F}\x{30A0}-\x{30FF}\x{4E00}-\x{9FFF}]') AS cjk, CASE WHEN regexp_matches(coalesce(title, ''), '[\x{3040}-\x{309F}\x{30A0}-\x{30FF}\x{4E00}-\x{9FFF}]') THEN concat('tr:', md5(title)) ELSE title END AS title_en FROM timeline""")
 def cjk_translate(spark: SparkSession, d: str) -> DataFrame:
