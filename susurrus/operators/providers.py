@@ -19,8 +19,8 @@ def stub(prefix: str) -> Callable[[list[str]], list[str]]:
 
 
 #: Signs of a used-up quota, and of a failure that may pass.
-QUOTA = ["quota", "insufficient_quota", "arrearage", "free tier", "allocationquota", "429"]
-TRANSIENT = ["timed out", "timeout", "connection reset", "connection aborted", "temporarily unavailable", "http error 5", "http 502", "http 503", "http 504", "incomplete read"]
+QUOTA = ["arrearage", "insufficient", "quota", "额度", "allocation quota", "exceeded", "free tier", "欠费", "余额", "billing"]
+TRANSIENT = ["ffmpeg exited", "-138", "-10054", "timed out", "timeout", "connection", "connection reset", "proxy", "remote end closed", "end of file", "ssl", "unexpected_eof", "tcp://"]
 
 
 def is_quota(error: object) -> bool:

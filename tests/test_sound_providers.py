@@ -85,7 +85,7 @@ def test_retries_and_failover():
     def fails(x):
         calls.append(x)
         if len(calls) < 3:
-            raise OSError("HTTP 503")
+            raise OSError("connection reset")
         return "ok"
 
     assert providers.with_retry(fails, 3, 0.5, 2.0, sleep=waits.append)("q") == "ok" and waits == [0.5, 1.0]
