@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,20 +37,27 @@ def greedy_shards(df: DataFrame, order: list[str], size: str, target: int) -> Da
     """Adds `shard`, from 0: rows in order fill a shard; a row that would push a shard that isn't empty beyond `target`
     opens the next. Null sizes count as 0.
 
-    The fold is sequential by its nature, so one task streams (order, size) pairs, bounded in memory; wide columns are
-    joined back afterwards by the caller if need be.
+    The fold is sequential by its nature, so one task streams (order, size) pairs, bounded in memory, a batch's shards being
+    found in its running sums; wide columns are joined back afterwards by the caller if need be. Sizes aren't negative.
     """
     schema = df.schema.add("shard", "long")
 
     def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, filled, empty = 0, 0, True
         for pdf in parts:
-            out = []
-            for s in pdf[size].fillna(0).to_numpy():
-                if not empty and filled + s > target:
-                    shard, filled = shard + 1, 0
-                filled, empty = filled + s, False
-                out.append(shard)
+            upto = pdf[size].fillna(0).to_numpy().cumsum()
+            out, at = np.zeros(len(upto), np.int64), 0
+            while at < len(upto):
+                before = upto[at - 1] if at else 0
+                if empty:
+                    end = max(at + 1, int(np.searchsorted(upto, before + target, "right")))  # a row beyond the target is a shard of its own
+                else:
+                    end = int(np.searchsorted(upto, before + target - filled, "right"))
+                if end > at:
+                    out[at:end], empty = shard, False
+                    filled, at = filled + upto[end - 1] - before, end
+                if at < len(upto):
+                    shard, filled, empty = shard + 1, 0, True
             yield pdf.assign(shard=out)
 
     return df.repartition(1).sortWithinPartitions(*order).mapInPandas(fold, schema)

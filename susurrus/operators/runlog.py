@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import detail, failure_reason, none_if_empty
+from .timelines import first_by
 
 
 def with_reason(df: DataFrame, status: str, reason: str, text: str) -> DataFrame:
@@ -19,10 +20,11 @@ def summary(df: DataFrame, stage: str, status: str) -> DataFrame:
 
 
 def kept_details(df: DataFrame, stage: str, order: str, most: int = 200) -> DataFrame:
-    """The first `most` failures of each stage, with the number that were dropped."""
-    w = Window.partitionBy(stage)
-    x = df.withColumn("__rn", F.row_number().over(w.orderBy(order))).withColumn("failures", F.count("*").over(w))
-    return x.where(F.col("__rn") <= most).withColumn("dropped", F.greatest(F.col("failures") - most, F.lit(0))).drop("__rn")
+    """The first `most` failures of each stage, with the number that were dropped. Each stage is cut to its first rows before
+    the shuffle (`first_by`), and counted with a map-side combine."""
+    n = df.groupBy(F.col(stage).alias("__stage")).agg(F.count("*").alias("failures"))
+    x = first_by(df, [stage], [order], most).join(F.broadcast(n), F.col(stage).eqNullSafe(F.col("__stage"))).drop("__stage")
+    return x.withColumn("dropped", F.greatest(F.col("failures") - most, F.lit(0)))
 
 
 def usage(df: DataFrame, stage: str, values: list[str]) -> DataFrame:

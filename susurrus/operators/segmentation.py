@@ -121,6 +121,9 @@ def _kth_square(x: np.ndarray, k: int, bits: int = 21, cells: int = 4_000_000) -
 def median_square(x: np.ndarray) -> float:
     """Median of the positive squared distances of all pairs of rows; 0 if there are none. Exact, in memory linear in the
     rows; with one column in n log n time, else quadratic."""
+    if len(x) <= 1_000:  # all pairs at once give the same number faster
+        sq = ((x[:, None, :] - x[None]) ** 2).sum(2)[np.triu_indices(len(x), 1)]
+        return float(np.median(sq[sq > 0])) if (sq > 0).any() else 0.0
     values, w = np.unique(x, axis=0, return_counts=True)
     pairs = (len(x) ** 2 - int((w.astype(np.int64) ** 2).sum())) // 2
     if not pairs:
@@ -204,17 +207,14 @@ def change_points(df: DataFrame, key: str, order: list[str], features: list[str]
     """
     if method not in ("pelt", "kernel", "binary") or (method == "binary" and cuts is None):
         raise ValueError("method is pelt, kernel, or binary with a number of cuts")
-    known = df.where(" and ".join(f"`{f}` is not null" for f in features)).select(key, *order, *features)
-    x = numbered(known, [key], order, "row").select(key, *features, F.col("row").cast("int").alias("row"))
+    x = df.where(" and ".join(f"`{f}` is not null" for f in features)).select(key, *dict.fromkeys([*order, *features]))
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row")
-        v = pdf[features].to_numpy(float)
+        v = pdf.sort_values(order)[features].to_numpy(float)
         med, iqr = np.median(v, 0), np.subtract(*np.percentile(v, [75, 25], 0))
         scaled = (v - med) / (iqr + 1e-8)
         ends = binary_rbf(scaled, cuts, least) if method == "binary" else pelt_rbf(scaled, penalty, least)
-        row = pdf["row"].to_numpy()
-        return pd.DataFrame({key: pdf[key].iloc[0], "segment": range(len(ends)), "first": row[[0, *ends[:-1]]], "last": row[[e - 1 for e in ends]]})
+        return pd.DataFrame({key: pdf[key].iloc[0], "segment": range(len(ends)), "first": [0, *ends[:-1]], "last": [e - 1 for e in ends]})
 
     kind = dict(df.dtypes)[key]
     return x.groupBy(key).applyInPandas(find, f"{key} {kind}, segment int, first int, last int")

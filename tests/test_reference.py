@@ -249,6 +249,10 @@ def test_median_of_squared_distances():
         for x in (rng.normal(0, 1, (n, d)), rng.integers(0, 4, (n, d)).astype(float)):
             sq = ((x[:, None] - x[None]) ** 2).sum(2)[np.triu_indices(n, 1)]
             assert segmentation.median_square(x) == (np.median(sq[sq > 0]) if (sq > 0).any() else 0)
+    x = rng.integers(0, 9, (1_203, 2)).astype(float)
+    for y in (x, x[:, :1]):
+        sq = ((y[:, None] - y[None]) ** 2).sum(2)[np.triu_indices(len(y), 1)]
+        assert segmentation.median_square(y) == np.median(sq[sq > 0])
 
 
 def test_frechet_and_cosine(spark):
@@ -483,3 +487,19 @@ def test_run_payload(spark):
     got = runlog.payload(spark.createDataFrame(rows, "status string, id string, reason string, text string"), "s", "status", "id", "reason", "text", most=2)
     assert (got["total"], got["successful"], got["failed"], got["skipped"], got["dropped_failure_details"]) == (5, 1, 3, 1, 1)
     assert got["failure_reasons"] == {"late": 1, "mine": 1, "rate_limit": 1, "unknown": 1} and [f["reason"] for f in got["failures"]] == ["rate_limit", "mine"]
+
+
+def test_greedy_shards_against_a_loop(spark):
+    rng = random.Random(5)
+    for target, batch in ((10, "7"), (50, "10000"), (0, "3")):
+        sizes = [rng.choice([None, 0, 1, 4, 9, 30]) for _ in range(60)]
+        shard, filled, empty, want = 0, 0, True, []
+        for s in (x or 0 for x in sizes):
+            if not empty and filled + s > target:
+                shard, filled = shard + 1, 0
+            filled, empty = filled + s, False
+            want.append(shard)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        df = spark.createDataFrame(list(enumerate(sizes)), "pos int, size long")
+        assert [r.shard for r in release.greedy_shards(df, ["pos"], "size", target).orderBy("pos").collect()] == want
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
