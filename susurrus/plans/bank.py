@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import bank
+from ..operators import bank, scoring
 from ..operators.packed import unpack
+from ..sources import readers
 from ..sources.tables import cut, table
+from .reference import _DONE
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -253,3 +255,36 @@ def bank_review(spark: SparkSession, d: str) -> DataFrame:
         "question_id", F.when(F.col("tier") == "strict_minimal_pair", "tier1").otherwise("tier2").alias("tier"), F.when(F.col("task") == "verb_mc", "verb").otherwise(F.regexp_replace("task", "_mc$", "")).alias("eval_target"),
         F.concat("gold_label", F.lit("="), "gold_value").alias("gold"), F.array_join(F.transform("options", shown), " | ").alias("options"), F.coalesce("group_id", F.lit("")).alias("group_id"),
     )
+
+
+_SCORE = rf"""
+gd AS (SELECT gt_row_id, wav, annotation.annotator_id AS run_id, nullif(coalesce(regexp_replace(trim(lower(gt.verb)), '\\s+', '_', 'g'), ''), '') AS verb, {_T.format("gt.subject")} AS s, {_T.format("gt.object")} AS o FROM manual_gt_example WHERE wav IS NOT NULL AND {_DONE}),
+gt AS (SELECT gt_row_id, 's' AS k, unnest(str_split(s, ' ')) AS w, unnest(range(len(str_split(s, ' ')))) AS p FROM gd WHERE s IS NOT NULL UNION ALL SELECT gt_row_id, 'o', unnest(str_split(o, ' ')), unnest(range(len(str_split(o, ' ')))) FROM gd WHERE o IS NOT NULL),
+gm AS (SELECT gt_row_id, arg_min(m, p) FILTER (k = 's') AS sm, arg_min(m, p) FILTER (k = 'o') AS om FROM gt JOIN mw USING (w) GROUP BY gt_row_id),
+lp AS (SELECT run_id, wav, 'verb_mc' AS task, verb AS value, gt_row_id FROM gd UNION ALL SELECT run_id, wav, 'object_material_mc', om, gt_row_id FROM gd JOIN gm USING (gt_row_id) UNION ALL SELECT run_id, wav, 'subject_material_mc', sm, gt_row_id FROM gd JOIN gm USING (gt_row_id)),
+sq AS (SELECT * FROM bk WHERE audio_id IN (SELECT wav FROM gd)),
+pr AS (SELECT lp.run_id, sq.question_id, arg_max(al.label, gt_row_id) AS pred, arg_max(al.value, gt_row_id) AS said FROM lp JOIN sq ON sq.audio_id = lp.wav AND sq.task = lp.task JOIN al ON al.question_id = sq.question_id AND al.value = lp.value GROUP BY ALL),
+sg AS (SELECT r.run_id, sq.task, CAST(pred IS NOT NULL AND pred = gold_label AS INT) AS ok, CASE WHEN sq.task = 'verb_mc' AND a.c IS NOT NULL THEN CAST(coalesce(b.c = a.c, false) AS INT) END AS cls
+  FROM sq CROSS JOIN (SELECT DISTINCT run_id FROM pr) r LEFT JOIN pr ON pr.question_id = sq.question_id AND pr.run_id = r.run_id LEFT JOIN vc a ON a.v = gold_value LEFT JOIN vc b ON b.v = said),
+st AS (SELECT run_id, task AS metric, avg(ok) AS value FROM sg GROUP BY ALL),
+sm AS (SELECT * FROM st UNION ALL SELECT run_id, 'overall', avg(ok) FROM sg GROUP BY run_id UNION ALL SELECT run_id, 'superclass', avg(cls) FROM sg GROUP BY run_id UNION ALL SELECT run_id, 'macro', avg(value) FROM st GROUP BY run_id)
+"""
+
+
+@query(f"WITH RECURSIVE {_BANK}, {_SCORE} SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, count(*) AS runs FROM sm GROUP BY metric")
+def bank_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The bank's questions on annotated clips scored for each annotator as a run: the option that agrees with the verb or
+    material that was given. Mean and deviation over the runs of all metrics."""
+    g = table(spark, d, "manual_gt_example").where(F.col("wav").isNotNull() & X.is_completed(F.col("annotation.status"), F.col("gt.subject"), F.col("gt.verb")))
+    words = F.create_map(*[F.lit(v) for kv in MATERIAL_OF.items() for v in kv])
+    material = lambda c: F.get(F.array_compact(F.transform(F.split(X.audit_text(F.col(c)), " "), lambda w: F.try_element_at(words, w))), 0)
+    said = F.array(*[F.struct(F.lit(t).alias("task"), v.alias("value")) for t, v in (("verb_mc", X.none_if_empty(X.token(F.col("gt.verb")))), ("object_material_mc", material("gt.object")), ("subject_material_mc", material("gt.subject")))])
+    given = g.select(F.col("annotation.annotator_id").alias("run_id"), F.col("wav").alias("audio_id"), "gt_row_id", F.explode(said).alias("x")).select("run_id", "audio_id", "gt_row_id", "x.*").where("value is not null")
+    classes = F.create_map(*[F.lit(x) for kv in sorted(_verb_classes(spark, d).items()) for x in kv])
+    q = whole_bank(spark, d).join(g.select(F.col("wav").alias("audio_id")).distinct(), "audio_id", "left_semi")
+    q = cut(q.withColumn("options", F.transform("options", lambda o: o.withField("verb_class", F.when(F.col("task") == "verb_mc", F.try_element_at(classes, o["value"]))))))
+    letter = F.get(F.filter("options", lambda o: o["value"] == F.col("value")), 0)["label"]
+    p = given.join(q, ["audio_id", "task"]).select("run_id", "question_id", letter.alias("pred"), "gt_row_id")
+    p = cut(readers.predictions(p, "run_id", "question_id", "gt_row_id"))
+    x = scoring.average_runs(scoring.score_runs(q, p))
+    return x.select("metric", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "runs")

@@ -322,17 +322,11 @@ WHEN regexp_matches(t, 'api error|internal server error|service unavailable|bad
 
 
 @query(rf"""
-WITH s AS (SELECT coalesce(clean_error, CASE WHEN clean_detected THEN NULL ELSE 'window ' || CASE seg_id % 4 WHEN 0 THEN 'decode failed' WHEN 1 THEN 'HTTP 429' WHEN 2 THEN 'timed out' ELSE 'lost' END END) AS detail, CASE WHEN clean_detected THEN 'success' ELSE 'failed' END AS status, coalesce(verb_source, 'none') AS stage FROM segment_label_parse),
-l AS (SELECT stage, status, lower(regexp_replace(coalesce(detail, ''), '\s+', ' ', 'g')) AS t FROM s)
-SELECT stage, status, CASE WHEN status = 'failed' THEN CASE {_NEEDLES} ELSE 'unknown' END END AS reason, count(*) AS n FROM l GROUP BY ALL""")
+WITH s AS (SELECT coalesce(origin, 'none') AS stage, CASE WHEN source = 'issue_tracker' THEN 'failed' ELSE 'success' END AS status, lower(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS t FROM documents)
+SELECT stage, status, CASE WHEN status = 'failed' THEN CASE {_NEEDLES} ELSE 'unknown' END END AS reason, count(*) AS n FROM s GROUP BY ALL""")
 def failure_classify(spark: SparkSession, d: str) -> DataFrame:
-    """Runs by stage, status and reason."""
-    k = F.col("seg_id") % 4
-    made = F.concat(F.lit("window "), F.when(k == 0, "decode failed").when(k == 1, "HTTP 429").when(k == 2, "timed out").otherwise("lost"))
-    t = table(spark, d, "segment_label_parse").select(
-        F.coalesce("clean_error", F.when(~F.coalesce("clean_detected", F.lit(False)), made)).alias("detail"), F.when(F.col("clean_detected"), "success").otherwise("failed").alias("status"),
-        F.coalesce("verb_source", F.lit("none")).alias("stage"), F.lit(None).cast("string").alias("given"),
-    )
+    """Documents by origin and status, those of the issue tracker (as failed runs) by the reason that their whole text tells."""
+    t = table(spark, d, "documents").select(F.col("text").alias("detail"), F.when(F.col("source") == "issue_tracker", "failed").otherwise("success").alias("status"), F.coalesce("origin", F.lit("none")).alias("stage"), F.lit(None).cast("string").alias("given"))
     return runlog.summary(runlog.with_reason(t, "status", "given", "detail"), "stage", "status")
 
 
