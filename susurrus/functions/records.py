@@ -151,3 +151,32 @@ def preferred_id(candidates: Column) -> Column:
 def pair_key(left: Column, right: Column) -> Column:
     """The key of a pair of nouns in a cache: both normalised, null kept apart from text."""
     return F.to_json(F.array(F.coalesce(audit_text(left), F.lit("\0")), F.coalesce(audit_text(right), F.lit("\0"))))
+
+
+def window_of_key(key: Column) -> Column:
+    """struct(start, end) of a `start_end` window key; null where it isn't two numbers, the second greater."""
+    a, b = F.substring_index(key, "_", 1).try_cast("double"), F.regexp_extract(key, r"^[^_]*_(.*)$", 1).try_cast("double")
+    return F.when(b > a, F.struct(a.alias("start"), b.alias("end")))
+
+
+def listed_url(video: Column, url: Column, base: str = "https://www.youtube.com/watch?v=") -> Column:
+    """The address of a listed video: its own if it is one, else from its id, else from what stands in place of an address;
+    null if nothing does."""
+    u, v = F.trim(F.coalesce(url, F.lit(""))), F.trim(F.coalesce(video, F.lit("")))
+    return F.when(u.rlike("^https?://"), u).when(v != "", F.concat(F.lit(base), v)).when(u != "", F.concat(F.lit(base), u))
+
+
+def first_named(*names: Column) -> Column:
+    """The first that isn't null or blank."""
+    return F.coalesce(*[none_if_empty(stripped(n)) for n in names])
+
+
+#: Formats of sound that a judge takes.
+SOUND_FORMATS = ["wav", "mp3", "flac", "m4a", "ogg"]
+
+
+def encoded_sound(path: Column, content: Column) -> Column:
+    """struct(data in base64, format) of a file; another format than SOUND_FORMATS is an error."""
+    kind = F.lower(F.regexp_extract(path, r"\.([^./]*)$", 1))
+    good = F.when(kind.isin(SOUND_FORMATS), kind).otherwise(F.raise_error(F.concat(F.lit("unsupported sound: "), path)).cast("string"))
+    return F.struct(F.base64(content).alias("data"), good.alias("format"))

@@ -53,3 +53,11 @@ def clean_window(start: Column, end: Column) -> Column:
     """struct(start, end) of a window of two numbers with end > start, else null."""
     a, b = start.try_cast("double"), end.try_cast("double")
     return F.when(b > a, F.struct(a.alias("start"), b.alias("end")))
+
+
+def hms_columns(start: Column, end: Column, origin: Column | None = None) -> list[Column]:
+    """start_hms, end_hms, duration_hms, and with an `origin` start_rel, start_rel_hms, end_rel, end_rel_hms; null for null."""
+    out = [hms(start).alias("start_hms"), hms(end).alias("end_hms"), hms(end - start).alias("duration_hms")]
+    for name, x in (("start", start), ("end", end)) if origin is not None else ():
+        out += [(x - origin).alias(f"{name}_rel"), hms(x - origin).alias(f"{name}_rel_hms")]
+    return out

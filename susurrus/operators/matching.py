@@ -76,3 +76,20 @@ def model_files(labels: DataFrame, models: DataFrame, files: DataFrame) -> DataF
 def usable(of_models: DataFrame) -> DataFrame:
     """Rows (audio_id): the labels for which every model has its file."""
     return of_models.groupBy("audio_id").agg(F.bool_and("there").alias("all")).where("all").select("audio_id")
+
+
+def representative(records: DataFrame, key: str, paths: str, files: DataFrame) -> DataFrame:
+    """Rows (key, path, there): of the paths (array) of each record the first that is among `files` (path), else the first that
+    isn't blank; null if there is none. Paths are exploded and joined once; a record is reduced to one row."""
+    x = records.select(key, F.posexplode_outer(paths).alias("pos", "path")).withColumn("path", none_if_empty(F.trim("path")))
+    x = x.join(files.select("path").distinct().withColumn("there", F.lit(True)), "path", "left").withColumn("there", F.coalesce("there", F.lit(False)))
+    best = x.groupBy(key).agg(F.min_by(F.struct("path", "there"), F.when(F.col("path").isNotNull(), F.struct((~F.col("there")).alias("a"), F.col("pos").alias("b")))).alias("x"))
+    return best.select(key, "x.path", F.coalesce("x.there", F.lit(False)).alias("there"))
+
+
+def only_wav(files: DataFrame) -> DataFrame:
+    """Rows (folder, name): the wav of each folder (folder, name): the one named like the folder, else the only one; folders
+    with several others have no row."""
+    x = files.where(F.lower("name").endswith(".wav")).withColumn("own", F.col("name") == F.concat("folder", F.lit(".wav")))
+    y = x.groupBy("folder").agg(F.max(F.when(F.col("own"), F.col("name"))).alias("own"), F.min("name").alias("low"), F.max("name").alias("high"))
+    return y.select("folder", F.coalesce("own", F.when(F.col("low") == F.col("high"), F.col("low"))).alias("name")).where("name is not null")

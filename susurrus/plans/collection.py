@@ -233,3 +233,77 @@ def ingest_summary(spark: SparkSession, d: str) -> DataFrame:
         F.count_if((F.col("t") > 0) & (F.col("e") > 0) & (F.col("d") > 0)).alias("complete"), F.sum("t").alias("lines"),
     )
 
+
+
+@query(r"""
+WITH p AS (SELECT event_uid, unnest(segments).audio_path AS path, unnest(range(len(segments))) AS pos FROM train_events), f AS (SELECT DISTINCT wav FROM train_label WHERE wav IS NOT NULL),
+x AS (SELECT event_uid, nullif(trim(path), '') AS path, pos, nullif(trim(path), '') IN (SELECT wav FROM f) AS there FROM p),
+b AS (SELECT event_uid, path, there FROM x WHERE path IS NOT NULL QUALIFY row_number() OVER (PARTITION BY event_uid ORDER BY CASE WHEN there THEN 0 ELSE 1 END, pos) = 1)
+SELECT event_uid, path, coalesce(there, false) AS there FROM train_events LEFT JOIN b USING (event_uid)""")
+def representative_audio(spark: SparkSession, d: str) -> DataFrame:
+    """One clip an event: the first that was exported, else the first."""
+    e = table(spark, d, "train_events").select("event_uid", F.transform("segments", lambda s: s["audio_path"]).alias("paths"))
+    return matching.representative(e, "event_uid", "paths", table(spark, d, "train_label").where("wav is not null").select(F.col("wav").alias("path")))
+
+
+_HMS = "CASE WHEN {0} < 0 THEN '-' ELSE '' END || printf('%d:%02d:%02d.%03d', CAST(floor(round(abs({0}) * 1000) / 3600000) AS BIGINT), CAST(floor(round(abs({0}) * 1000) / 60000) AS BIGINT) % 60, CAST(floor(round(abs({0}) * 1000) / 1000) AS BIGINT) % 60, CAST(round(abs({0}) * 1000) AS BIGINT) % 1000)"
+
+
+@query(f"""
+WITH s AS (SELECT seg_id, clean_start AS a, clean_end AS b, start_sec AS o FROM segment_label_parse WHERE clean_start IS NOT NULL AND clean_end IS NOT NULL AND start_sec IS NOT NULL)
+SELECT seg_id, {_HMS.format("a")} AS start_hms, {_HMS.format("b")} AS end_hms, {_HMS.format("(b - a)")} AS duration_hms, {_HMS.format("(a - o)")} AS start_rel_hms, {_HMS.format("(b - o)")} AS end_rel_hms FROM s""")
+def hms_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Windows with their times written out, also from the start of their line."""
+    s = table(spark, d, "segment_label_parse").where("clean_start is not null and clean_end is not null and start_sec is not null")
+    return s.select("seg_id", *T.hms_columns(F.col("clean_start"), F.col("clean_end"), F.col("start_sec"))).drop("start_rel", "end_rel")
+
+
+@query(r"""
+WITH k AS (SELECT seg_id, trim(video_id) AS video_id, clean_start AS a, clean_end AS b FROM segment_label_parse WHERE clean_start IS NOT NULL AND clean_end IS NOT NULL)
+SELECT seg_id, video_id, round(a, 6) AS a, round(b, 6) AS b FROM k WHERE b > a AND video_id <> ''""")
+def window_folders(spark: SparkSession, d: str) -> DataFrame:
+    """Windows from the keys of their folders; broken keys and windows that don't end after their start give no row."""
+    s = table(spark, d, "segment_label_parse").where("clean_start is not null and clean_end is not null")
+    x = s.select("seg_id", F.trim("video_id").alias("video_id"), R.window_of_key(F.concat_ws("_", F.col("clean_start").cast("string"), F.col("clean_end").cast("string"))).alias("w"))
+    return x.where("w is not null and video_id <> ''").select("seg_id", "video_id", r6("w.start").alias("a"), r6("w.end").alias("b"))
+
+
+@query(r"""
+WITH l AS (SELECT event_uid, id, CASE event_uid % 4 WHEN 0 THEN 'https://www.youtube.com/watch?v=' || id WHEN 1 THEN 'https://www.youtube.com/shorts/' || id WHEN 2 THEN NULL ELSE ' ' || id || ' ' END AS url, author, title FROM train_events)
+SELECT event_uid, CASE WHEN url LIKE 'http%' THEN url ELSE 'https://www.youtube.com/watch?v=' || id END AS url, coalesce(nullif(trim(author), ''), nullif(trim(title), ''), id) AS uploader FROM l WHERE id <> '' AND NOT contains(coalesce(url, ''), '/shorts/')""")
+def channel_urls(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses and uploaders of listed videos, without short ones."""
+    k = F.col("event_uid") % 4
+    base = "https://www.youtube.com/"
+    url = F.when(k == 0, F.concat(F.lit(base + "watch?v="), "id")).when(k == 1, F.concat(F.lit(base + "shorts/"), "id")).when(k == 3, F.concat(F.lit(" "), "id", F.lit(" ")))
+    t = table(spark, d, "train_events").where("id <> ''").select("event_uid", "id", R.listed_url(F.when(k != 3, F.col("id")), url).alias("url"), R.first_named(F.col("author"), F.col("title"), F.col("id")).alias("uploader"))
+    return t.where(~F.contains("url", F.lit("/shorts/"))).drop("id")
+
+
+@query(r"""
+WITH f AS (SELECT DISTINCT regexp_extract(wav, '([^/]+)/[^/]+$', 1) AS folder, CASE WHEN md5(wav) < '2' THEN regexp_extract(wav, '([^/]+)/[^/]+$', 1) || '.wav' ELSE regexp_extract(wav, '([^/]*)$', 1) END AS name FROM train_label WHERE wav IS NOT NULL)
+SELECT folder, coalesce(max(name) FILTER (name = folder || '.wav'), CASE WHEN min(name) = max(name) THEN min(name) END) AS name FROM f WHERE name LIKE '%.wav' GROUP BY folder HAVING coalesce(max(name) FILTER (name = folder || '.wav'), CASE WHEN min(name) = max(name) THEN min(name) END) IS NOT NULL""")
+def unique_wavs(spark: SparkSession, d: str) -> DataFrame:
+    """The wav of each folder that has one named like it, or only one."""
+    folder = F.regexp_extract("wav", r"([^/]+)/[^/]+$", 1)
+    f = table(spark, d, "train_label").where("wav is not null").select(folder.alias("folder"), F.when(F.md5("wav") < "2", F.concat(folder, F.lit(".wav"))).otherwise(F.regexp_extract("wav", r"([^/]*)$", 1)).alias("name"))
+    return matching.only_wav(f)
+
+
+@query(r"""
+WITH t AS (SELECT line_id, video_id, title, lang, start_sec AS a, end_sec AS b FROM timeline WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL), s AS (SELECT * FROM segment_label_parse WHERE clean_end > clean_start)
+SELECT t.line_id, s.seg_id, t.title, t.lang, s.clean_start, s.clean_end, CAST(coalesce(s.clean_segment_index, 0) AS INT) AS clean_segment_index, s.seg_id IS NOT NULL AS clean_detected FROM t LEFT JOIN s ON t.video_id = s.video_id AND abs(t.a - s.start_sec) <= 0.51 AND abs(t.b - s.end_sec) <= 0.51""")
+def child_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Windows with what they inherit from their line; a line without a window is a stub with empty fields."""
+    t = table(spark, d, "timeline").where("start_sec is not null and end_sec is not null").select("line_id", "video_id", "title", "lang", F.col("start_sec").alias("start"), F.col("end_sec").alias("end"))
+    s = table(spark, d, "segment_label_parse").where("clean_end > clean_start").select("video_id", "seg_id", "clean_start", "clean_end", "clean_segment_index", F.col("start_sec").alias("start"), F.col("end_sec").alias("end"))
+    m = matching.match_intervals(t.select("line_id", "video_id", "start", "end"), s, ["video_id"]).select("line_id", F.col("r_seg_id").alias("seg_id"), F.col("r_clean_start").alias("clean_start"), F.col("r_clean_end").alias("clean_end"), F.col("r_clean_segment_index").alias("clean_segment_index"))
+    return t.join(m, "line_id", "left").select("line_id", "seg_id", "title", "lang", "clean_start", "clean_end", F.coalesce("clean_segment_index", F.lit(0)).alias("clean_segment_index"), F.col("seg_id").isNotNull().alias("clean_detected"))
+
+
+@query(rf"""
+WITH p AS (SELECT DISTINCT wav FROM train_label l WHERE wav IS NOT NULL AND NOT EXISTS (SELECT 1 FROM manual_gt_example g WHERE g.wav = l.wav)) SELECT wav, row_number() OVER (ORDER BY wav) AS place FROM p QUALIFY row_number() OVER (ORDER BY wav) > 50 ORDER BY wav LIMIT 25""")
+def pending_page(spark: SparkSession, d: str) -> DataFrame:
+    """A page of pending clips: 25 behind the first 50 in order of their paths."""
+    p = table(spark, d, "train_label").where("wav is not null").select("wav").distinct().join(table(spark, d, "manual_gt_example").where("wav is not null").select("wav"), "wav", "left_anti")
+    return numbered(p.orderBy("wav").limit(75), [], ["wav"], "place").select("wav", (F.col("place") + 1).alias("place")).where("place > 50")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as R
 from ..functions import text as X
-from ..operators import audio, matching, runlog
+from ..operators import audio, matching, release, runlog
 from ..sources import readers, writers
 from ..sources.tables import cut, shared_folder, table
 from ..streaming import incremental
@@ -253,3 +253,35 @@ def cache_upsert(spark: SparkSession, d: str) -> DataFrame:
         part = t.where(F.col("k") <= k).groupBy("author").agg(F.count("*").alias("n")).withColumn("v", F.lit(k))
         at.merge(part, k, ["author"], "v")
     return at.read().select("author", "n")
+
+
+@query(r"""
+WITH s AS (SELECT video_id, seg_id, clean_start, clean_end, clean_segment_index FROM segment_label_parse WHERE video_id IS NOT NULL)
+SELECT video_id, seg_id, row_number() OVER (PARTITION BY video_id ORDER BY clean_segment_index NULLS FIRST, seg_id) - 1 AS segment_index, count(*) OVER (PARTITION BY video_id) AS segment_count FROM s""")
+def segment_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Windows as the rows of segment documents, numbered within their video, without private fields; read back."""
+    at = _place(spark)
+    s = table(spark, d, "segment_label_parse").where("video_id is not null")
+    writers.segment_rows(s, "video_id", ["clean_segment_index", "seg_id"], ["clean_error", "ingested_at"]).write.json(at)
+    return readers.json_lines(spark, at, "video_id string, seg_id bigint, segment_index bigint, segment_count bigint")
+
+
+@query(r"""
+WITH a AS (SELECT DISTINCT regexp_replace(author, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS author FROM train_label WHERE author IS NOT NULL), n AS (SELECT author, row_number() OVER (ORDER BY author) AS k FROM a WHERE author <> '')
+SELECT 'creator_' || CASE WHEN k < 10 THEN '0' ELSE '' END || k AS creator_id, author FROM n""")
+def creator_map(spark: SparkSession, d: str) -> DataFrame:
+    """The private map of pseudonyms, written apart and read back."""
+    at = _place(spark)
+    writers.write_creator_map(release.creator_ids(table(spark, d, "train_label"), "author"), f"{at}/map.json")
+    return readers.json_rows(spark, f"{at}/map.json", "struct<creator_id:string,author:string>", ["creators"], required=True).select("creator_id", "author")
+
+
+@query(r"""
+SELECT annotation.annotator_id AS run, item_id AS question_id, arg_max(gt.verb, gt_row_id) AS pred FROM manual_gt_example WHERE item_id <> '' AND annotation.annotator_id IN ('annotator_a', 'annotator_b') GROUP BY ALL""")
+def judge_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Results of two runs as documents in order of their ids, read back; of repeated ids the last counts."""
+    at = _place(spark)
+    for who in ("annotator_a", "annotator_b"):
+        g = table(spark, d, "manual_gt_example").where(F.col("annotation.annotator_id") == who).select(F.col("item_id").alias("question_id"), F.col("gt.verb").alias("pred"), "gt_row_id").withColumn("key", F.struct("question_id", "gt_row_id"))
+        writers.write_document(g.orderBy("key").drop("key"), f"{at}/{who}.json", "results", judge=who)
+    return readers.judge_runs(spark, f"{at}/*.json", "pred:string").select("run", "question_id", "pred")

@@ -201,3 +201,12 @@ def best_files(files: DataFrame) -> DataFrame:
     rank = F.when(suffix.isin(AUDIO), 2).when(suffix != "", 1).otherwise(0)
     best = x.groupBy("base").agg(F.max(F.struct(rank.alias("r"), F.col("bytes"), (-F.length("name")).alias("l"), "name")).alias("x"), F.count("*").alias("candidates"))
     return best.select("base", "x.name", "candidates")
+
+
+def judge_runs(spark: SparkSession, path: str, fields: str = "task:string,gold_label:string,pred_logprob:string,pred_label:string,pred:string") -> DataFrame:
+    """Rows (run, question_id, <fields>) of the result documents of runs (a list, or an object with `results`), the run being
+    the file's name; results without an id don't count, of repeated ids the last does."""
+    x = json_rows(spark, path, f"struct<question_id:string,{fields}>", ["results"], required=True).where("question_id <> ''")
+    names = [f.split(":")[0] for f in fields.split(",")]
+    y = x.groupBy(F.regexp_extract("doc_path", r"([^/]*?)(?:\.[^./]*)?$", 1).alias("run"), "question_id").agg(F.max_by(F.struct(*names), "pos").alias("x"))
+    return y.select("run", "question_id", "x.*")

@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.prefix import numbered, same
 from ..operators.release import greedy_shards
 from .readers import LEDGER
 from .tables import cut
@@ -125,3 +126,29 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> Dat
     x = old.withColumn("__rank", F.lit(0)).unionByName(new.withColumn("__rank", F.lit(1)))
     w = Window.partitionBy(*keys).orderBy(F.desc("__rank"), F.desc(version))
     return x.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__rank")
+
+
+def segment_rows(df: DataFrame, video: str, order: list[str], private: list[str]) -> DataFrame:
+    """Windows as a segment document's rows, one JSON line each with its place and the number of rows of its video, without
+    private fields: a video of any size stays many lines, never one cell."""
+    n = cut(df.groupBy(video).agg(F.count("*").alias("segment_count")))
+    x = numbered(df.drop(*private), [video], order, "segment_index")
+    return x.alias("l").join(F.broadcast(n).alias("r") if n.count() <= 100_000 else n.alias("r"), same("l", "r", [video])).select("l.*", "r.segment_count")
+
+
+def write_creator_map(ids: DataFrame, path: str, note: str = "Internal only.") -> None:
+    """The private map of pseudonyms to authors, in a place of its own; release rows never carry the authors."""
+    write_document(ids.select("creator_id", "author").orderBy("creator_id"), path, "creators", note=note)
+
+
+def write_sorted(df: DataFrame, path: str, key: str, **facts: str) -> None:
+    """Results as one document in order of `key`."""
+    write_document(df.orderBy(key), path, "results", **facts)
+
+
+def release_manifest(parts: dict[str, DataFrame], path: str) -> dict:
+    """Writes and returns {name: rows} of the parts of a release."""
+    facts = {name: df.count() for name, df in parts.items()}
+    any_part = next(iter(parts.values()))
+    write_text(any_part.sparkSession, path, [json.dumps({"parts": facts}, ensure_ascii=False)])
+    return facts

@@ -503,3 +503,37 @@ def test_greedy_shards_against_a_loop(spark):
         df = spark.createDataFrame(list(enumerate(sizes)), "pos int, size long")
         assert [r.shard for r in release.greedy_shards(df, ["pos"], "size", target).orderBy("pos").collect()] == want
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_representatives_and_unique_wavs(spark):
+    e = spark.createDataFrame([(1, ["", "a", "b"]), (2, ["x", "b"]), (3, []), (4, None), (5, [" ", "y", "z"])], "k int, p array<string>")
+    f = spark.createDataFrame([("b",), ("a",), ("b",)], "path string")
+    assert {r.k: (r.path, r.there) for r in matching.representative(e, "k", "p", f).collect()} == {1: ("a", True), 2: ("b", True), 3: (None, False), 4: (None, False), 5: ("y", False)}
+    w = spark.createDataFrame([("f", "f.wav"), ("f", "o.wav"), ("g", "o.wav"), ("g", "o.txt"), ("h", "1.wav"), ("h", "2.wav"), ("i", "x.txt")], "folder string, name string")
+    assert {r.folder: r["name"] for r in matching.only_wav(w).collect()} == {"f": "f.wav", "g": "o.wav"}
+
+
+def test_more_record_functions(spark):
+    from susurrus.functions import records as R
+
+    assert one(spark, *[R.window_of_key(F.col(c)) for c in "abcd"], a="1.5_2", b="2_1", c="x_2", d="5") == ((1.5, 2.0), None, None, None)
+    assert one(spark, R.listed_url(F.col("a"), F.col("b")), R.listed_url(F.col("a"), F.col("c")), R.listed_url(F.col("d"), F.col("e")), R.listed_url(F.col("d"), F.col("d")), a="id", b="https://x", c=None, d=None, e=" z ") == ("https://x", "https://www.youtube.com/watch?v=id", "https://www.youtube.com/watch?v=z", None)
+    assert one(spark, R.first_named(F.col("a"), F.col("b"), F.col("c")), a=None, b=" ", c="x") == ("x",)
+    assert one(spark, R.encoded_sound(F.col("a"), F.col("b").cast("binary")), a="d/x.WAV", b="hi")[0] == ("aGk=", "wav")
+    with pytest.raises(Exception, match="unsupported sound"):
+        one(spark, R.encoded_sound(F.col("a"), F.col("b").cast("binary"))["format"], a="d/x.aiff", b="hi")
+    assert one(spark, *T.hms_columns(F.col("a"), F.col("b"), F.col("c")), a=61.5, b=3600.0, c=100.0) == ("0:01:01.500", "1:00:00.000", "0:58:58.500", -38.5, "-0:00:38.500", 3500.0, "0:58:20.000")
+
+
+def test_documents_and_maps(spark, tmp_path):
+    df = spark.createDataFrame([("v", 2, "p"), ("v", 1, "q"), (None, 5, "r")], "v string, i int, secret string")
+    rows = {(r.v, r.i): (r.segment_index, r.segment_count) for r in writers.segment_rows(df, "v", ["i"], ["secret"]).collect()}
+    assert rows == {("v", 1): (0, 2), ("v", 2): (1, 2), (None, 5): (0, 1)} and "secret" not in writers.segment_rows(df, "v", ["i"], ["secret"]).columns
+    writers.write_sorted(df.select("v", "i"), str(tmp_path / "o.json"), "i", judge="m")
+    got = __import__("json").loads((tmp_path / "o.json").read_text())
+    assert got["judge"] == "m" and [r["i"] for r in got["results"]] == [1, 2, 5]
+    writers.write_sorted(df.limit(0), str(tmp_path / "o.json"), "i")
+    assert __import__("json").loads((tmp_path / "o.json").read_text()) == {"results": []}
+    assert writers.release_manifest({"train": df, "test": df.limit(1)}, str(tmp_path / "m.json")) == {"train": 3, "test": 1}
+    writers.write_metadata(spark.createDataFrame([("d/x.wav", 1)], "audio string, k int"), str(tmp_path / "meta"))
+    assert [r.audio for r in spark.read.json(str(tmp_path / "meta")).collect()] == ["x.wav"]
