@@ -154,10 +154,11 @@ def release_shards(spark: SparkSession, d: str) -> DataFrame:
     at = _place(spark)
     docs = table(spark, d, "documents").select("doc_id", "source", F.coalesce("n_chars", F.lit(0)).alias("size"))
     first = writers.write_shards(docs, at, "train", ["doc_id"], "size", 60_000).collect()
+    folder, fs = writers._fs(spark, at)
+    path = spark._jvm.org.apache.hadoop.fs.Path
     for k, r in enumerate(first):
         if k % 2 == 0:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/{r['name']}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+            fs.delete(path(folder, r["name"]), False)
     return writers.write_shards(docs, at, "train", ["doc_id"], "size", 60_000)
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 import uuid
 from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +17,11 @@ from ..operators.release import greedy_shards
 from .readers import LEDGER
 from .tables import cut
 
+#: Sizes of small shards that one task writes one after another, together about.
+TASK_BYTES = 64 << 20
+#: With version 2 tasks move their own files instead of the driver all: the folder beside is seen by nobody before its rows agree.
+COMMIT = "mapreduce.fileoutputcommitter.algorithm.version"
+
 
 def _fs(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -47,35 +55,59 @@ def write_document(df: DataFrame, path: str, key: str = "data", **facts: str) ->
     write_text(spark, path, parts())
 
 
+def _rows_by_file(spark: SparkSession, path: str, glob: str) -> dict[str, int]:
+    """Rows of each Parquet file below `path` whose name fits `glob`, by its full path: one job lists the folders and one
+    reads the footers, in few tasks of many files each. Files without rows are not among them."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    own = spark._jsparkSession.newSession()  # the caller's session is not changed
+    own.conf().set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))
+    files = own.read().schema("__none int").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).parquet(path)
+    x = DataFrame(files, spark).coalesce(tasks).groupBy(F.col("_metadata.file_path").alias("at"))
+    return {unquote(r["at"]): r["n"] for r in x.agg(F.count("*").alias("n")).collect()}
+
+
 def write_shards(df: DataFrame, path: str, split: str, order: list[str], size: str, target_bytes: int, resume: bool = True) -> DataFrame:
     """Writes `df` as zstd Parquet files `split-00000-of-000NN.parquet`, one a greedy shard, and returns (name, rows, written).
 
     With `resume`, a file that is there with as many rows as its shard has is kept. Others are written to a folder beside,
-    their rows counted from the files, and renamed into place only if the counts agree. A shard is written by one task; the
-    driver sees one row a shard.
+    their rows counted from the files, and renamed into place only if all counts agree. A shard is written by one task, which
+    writes small shards one after another; rows are counted by one job for all files, so the number of jobs doesn't grow with
+    the shards. The driver sees one row a shard and renames the files.
     """
     spark = df.sparkSession
-    parts = cut(greedy_shards(df.select(*order, size), order, size, target_bytes).select(*order, "shard"))
-    want = {r["shard"]: r["n"] for r in parts.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    parts = cut(greedy_shards(df.select(*order, size), order, size, target_bytes).select(*order, size, "shard"))
+    found = parts.groupBy("shard").agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).collect()
+    want, filled = {r["shard"]: r["n"] for r in found}, {r["shard"]: r["bytes"] or 0 for r in found}
     names = {k: f"{split}-{k:05d}-of-{len(want):05d}.parquet" for k in want}
     folder, fs = _fs(spark, path)
     fs.mkdirs(folder)
-    rows_of = lambda name: spark.read.parquet(f"{path}/{name}").count()
-    todo = [k for k in sorted(want) if not (resume and fs.exists(_fs(spark, f"{path}/{names[k]}")[0]) and rows_of(names[k]) == want[k])]
+    there, done = {}, fs.getFileStatus(folder).getPath().toString()
+    if resume and want:
+        ours = re.sub(r"([\\*?\[\]{}])", r"\\\1", split) + f"-*-of-{len(want):05d}.parquet"
+        there = _rows_by_file(spark, path, ours)
+    todo = [k for k in sorted(want) if there.get(f"{done}/{names[k]}") != want[k]]
     beside = f"{path}/.writing-{uuid.uuid4().hex}"
     if todo:
-        x = df.join(parts.where(F.col("shard").isin(todo)), order)
-        x.repartition(len(todo), "shard").sortWithinPartitions("shard", *order).write.option("compression", "zstd").partitionBy("shard").parquet(beside)
+        due = parts.select(*order, "shard")
+        if len(todo) < len(want):
+            due = due.join(F.broadcast(spark.createDataFrame([(k,) for k in todo], "shard long")), "shard", "left_semi")
+        tasks = min(len(todo), max(4 * spark.sparkContext.defaultParallelism, math.ceil(sum(filled[k] for k in todo) / TASK_BYTES)))
+        df.join(due, order).repartition(tasks, "shard").sortWithinPartitions("shard", *order).write.option("compression", "zstd").option(COMMIT, "2").partitionBy("shard").parquet(beside)
+        made: dict[int, list] = {}
+        for at, n in _rows_by_file(spark, beside, "*.parquet").items():
+            made.setdefault(int(at.rsplit("/", 2)[-2].removeprefix("shard=")), []).append((at.rsplit("/", 1)[-1], n))
         for k in todo:
-            files = [s.getPath() for s in fs.listStatus(_fs(spark, f"{beside}/shard={k}")[0]) if s.getPath().getName().endswith(".parquet")]
-            if len(files) != 1 or spark.read.parquet(files[0].toString()).count() != want[k]:
+            if [n for _, n in made.get(k, [])] != [want[k]]:
                 raise RuntimeError(f"rows of {names[k]} don't agree")
-            to = _fs(spark, f"{path}/{names[k]}")[0]
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path  # looked up once: each lookup is several calls of the JVM
+        for k in todo:
+            to = hadoop_path(folder, names[k])
             fs.delete(to, False)
-            if not fs.rename(files[0], to):
+            if not fs.rename(hadoop_path(f"{beside}/shard={k}/{made[k][0][0]}"), to):
                 raise OSError(f"can't rename into {names[k]}")
         fs.delete(_fs(spark, beside)[0], True)
-    return spark.createDataFrame([(names[k], want[k], k in todo) for k in sorted(want)], "name string, rows long, written boolean")
+    new = set(todo)
+    return spark.createDataFrame([(names[k], want[k], k in new) for k in sorted(want)], "name string, rows long, written boolean")
 
 
 def write_metadata(df: DataFrame, path: str, audio: str = "audio") -> None:

@@ -7,6 +7,7 @@ from io import BytesIO
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -334,6 +335,36 @@ def test_readers_and_writers(spark, tmp_path):
     assert {r.verb_class: r.rules for r in readers.disambiguation(spark, str(tmp_path / "dis.txt")).collect()} == {"tapping_class": ["- one", "- two"], "slide": ["- three"]}
 
 
+def test_shards_take_as_many_jobs_whatever_their_number(spark, tmp_path):
+    """Jobs of a first and of a resumed run don't grow with the shards; files of other splits, of none of the rows, in other
+    folders and with odd signs in their names are told apart."""
+    track, jobs = spark.sparkContext.statusTracker(), {}
+    for n in (4, 120):
+        at = tmp_path / str(n)
+        rows = spark.createDataFrame([(i, 4, f"x{i}") for i in range(2 * n)], "id int, size int, more string")
+        spark.sparkContext.setJobGroup(f"shards-{n}", "")
+        run = lambda split, **k: [tuple(r) for r in writers.write_shards(rows, str(at), split, ["id"], "size", 8, **k).orderBy("name").collect()]  # noqa: B023, E731
+        assert run("a b[1]") == [(f"a b[1]-{i:05d}-of-{n:05d}.parquet", 2, True) for i in range(n)]
+        assert all(r[2] for r in run("train"))
+        spark.sparkContext.setJobGroup("other", "")
+        name = lambda i: f"train-{i:05d}-of-{n:05d}.parquet"  # noqa: B023, E731
+        (at / "below").mkdir()
+        (at / name(0)).rename(at / "below" / name(0))
+        spark.createDataFrame([], "id int").coalesce(1).write.parquet(str(tmp_path / f"none-{n}"))
+        next((tmp_path / f"none-{n}").glob("part-*")).rename(at / name(2))
+        (at / f".{name(2)}.crc").unlink(missing_ok=True)
+        (at / name(3)).unlink()
+        spark.sparkContext.setJobGroup(f"shards-{n}", "")
+        assert [k for k, r in enumerate(run("train")) if r[2]] == [0, 2, 3] and not any(r[2] for r in run("a b[1]"))
+        spark.sparkContext.setJobGroup("other", "")
+        jobs[n] = len(track.getJobIdsForGroup(f"shards-{n}"))
+        for split in ("a b[1]", "train"):
+            got = [(int(p.name[len(split) + 1 : len(split) + 6]), r["id"], r["size"], r["more"]) for p in at.glob("*.parquet") if p.name.startswith(split) for r in pq.read_table(p).to_pylist()]
+            assert sorted(got) == [(i // 2, i, 4, f"x{i}") for i in range(2 * n)]
+        assert not list(at.glob(".writing-*"))
+    assert 0 < jobs[120] <= jobs[4] + 20
+
+
 def test_incremental_and_stream(spark, tmp_path):
     rows = spark.createDataFrame([(1,), (2,), (3,)], "id int")
     done = spark.createDataFrame([(1, "ok"), (2, "fail")], "id int, status string")
