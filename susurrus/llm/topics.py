@@ -20,11 +20,6 @@ SLOTS = 1 << 17
 #: Documents a task reads in a round, about.
 DOCS_A_TASK = 5_000
 TIME_STAMPED = r"^[\s\p{P}\p{S}]*(?:\d{1,3}:)?\d{1,3}:\d{2}(?!\d)"
-#: Labelled documents used to fit the calibration, by hash order.
-CALIBRATION_ROWS = 20_000
-#: Documents on which expectation-maximisation runs: all up to this many, beyond it so many by hash order of all (a bounded
-#: fitting sample; every document is judged). Labelled documents count among them, by hash order too.
-EM_ROWS = 1_000_000
 
 
 def sentences(text):
@@ -138,7 +133,7 @@ def class_prior(labs: list, prior: np.ndarray, strict: float) -> np.ndarray:
 
 def areas(
     docs: DataFrame, doc: str, text: str, labels: DataFrame, area: str, lang: str | None = None, nothing: DataFrame | None = None,
-    least: int = 3, rounds: int = 20, strict: float = 0.1, bias: float = 2.5, least_tagged: float = 0.02, held: float = 0.2, tolerance: float = 0.002, em_rows: int = EM_ROWS,
+    least: int = 3, rounds: int = 20, strict: float = 0.1, bias: float = 2.5, least_tagged: float = 0.02, held: float = 0.2, tolerance: float = 0.002, em_rows: int | None = None,
 ) -> DataFrame:
     """Rows (doc, area, posterior): every area that the calibrated posterior gives to a document with 0.5 or more.
 
@@ -148,7 +143,8 @@ def areas(
     and of no area, with the class mix of each document, a labelled document keeping only the share `strict` of its prior
     for areas not among its labels. Texts of `nothing` (rows (text)) are of no area. Last, each area's posterior is
     calibrated on its own by logistic regression, with a ridge towards no change, on the share `held` of the labelled
-    documents (by hash) whose labels neither the first weights nor the rounds saw.
+    documents (by hash) whose labels neither the first weights nor the rounds saw, all of them: a step of the regression is
+    a job that returns six sums an area.
 
     Rounds end when the shares of the classes move by no more than `tolerance`; `rounds` without that is told by a warning.
 
@@ -157,9 +153,10 @@ def areas(
     one of them. Rarer tags are mostly wrong ones; a document in a language below that share is judged by the language
     that its words are nearest to. Without `lang` all documents count as one language.
 
-    Expectation-maximisation runs on all documents up to `em_rows`, beyond it on that many by hash, spread over tasks of
-    some thousand documents; a round returns sums per hashed word and class, pre-aggregated per task; the driver holds
-    one number a language, class and slot, however large the corpus. Every document is judged, in its own file partition.
+    Expectation-maximisation runs on all documents, spread over tasks of some thousand documents or more; a round returns
+    sums per hashed word and class, pre-aggregated per task; the driver holds one number a language, class and slot, however
+    large the corpus. Only a caller that passes `em_rows` has the rounds run on that many documents by hash. Every document
+    is judged, in its own file partition.
     Null and blank texts, and documents without an area, have no row; repeated ids are separate documents (they share
     labels); without any label there are no rows.
     """
@@ -184,10 +181,12 @@ def areas(
     judged_rows = cut(rows.select("doc", flat.alias("x"), "labs", "all", "tag").select("doc", "x.tok", "x.lens", "labs", "all", "tag")).where("size(lens) > 0")
     n_rows = judged_rows.count()
     data = judged_rows
-    if n_rows > em_rows:
+    cores = spark.sparkContext.defaultParallelism
+    if em_rows is not None and n_rows > em_rows:
         data = data.where(F.xxhash64("doc", "lens", F.lit(3)) < int((2 * em_rows / n_rows - 1) * 2**63))
-    if n_rows > em_rows or n_rows / max(1, data.rdd.getNumPartitions()) < DOCS_A_TASK:
-        data = cut(data.repartition(max(1, min(spark.sparkContext.defaultParallelism, math.ceil(n_rows / 500)), math.ceil(min(n_rows, em_rows) / DOCS_A_TASK))))
+        n_rows = em_rows
+    if data is not judged_rows or n_rows < DOCS_A_TASK * data.rdd.getNumPartitions():
+        data = cut(data.repartition(max(1, min(cores, math.ceil(n_rows / 500)), math.ceil(n_rows / DOCS_A_TASK))))
 
     seen = {x["tag"]: x["count"] for x in data.where("tag <> '' and tag <> 'und'").groupBy("tag").count().collect()}
     tags = sorted(t for t in seen if seen[t] >= least_tagged * sum(seen.values())) or [""]
@@ -283,22 +282,45 @@ def areas(
     lang_sent.destroy()
     told = scored.where("`all` is not null")
     hidden = told.where("labs is null")
-    sample = (told if hidden.isEmpty() else hidden).orderBy(F.xxhash64("doc")).limit(CALIBRATION_ROWS).toPandas()
-    fits = [calibration(np.array([z[k] for z in sample["z"]]), np.array([k + 1 in set(x) for x in sample["all"]])) for k in range(len(names))]
+    fits = calibrations(told if hidden.isEmpty() else hidden, len(names))
     table = F.broadcast(spark.createDataFrame([(k, a, float(fits[k][0]), float(fits[k][1])) for k, a in enumerate(names)], "k int, area string, slope double, shift double"))
     odds = F.least(F.lit(12.0), F.greatest(F.lit(-12.0), F.log(F.greatest("z", F.lit(1e-9)) / F.greatest(1 - F.col("z"), F.lit(1e-9)))))
     out = scored.select("doc", F.posexplode("z").alias("k", "z")).where("z > 1e-3").join(table, "k")
     return out.withColumn("posterior", 1 / (1 + F.exp(-(F.col("slope") * odds + F.col("shift"))))).where("posterior >= 0.5").select(F.col("doc").alias(doc), "area", "posterior")
 
 
-def calibration(z: np.ndarray, y: np.ndarray, ridge: float = 5.0, steps: int = 500) -> tuple[float, float]:
-    """Slope and shift of a logistic regression of y on the log odds of z, drawn by `ridge` towards (1, 0)."""
-    x = np.clip(np.log(np.maximum(z, 1e-9) / np.maximum(1 - z, 1e-9)), -12, 12) if len(z) else np.zeros(0)
-    a = np.column_stack([x, np.ones(len(x))])
-    # steps of the fixed curvature bound (a'a / 4) can't overshoot
-    bound = a.T @ a / 4 + ridge * np.eye(2)
-    beta = np.array([1.0, 0.0])
+def calibrations(told: DataFrame, areas: int, ridge: float = 5.0, steps: int = 50) -> list[tuple[float, float]]:
+    """Slope and shift by area of the logistic regressions of "is one of the areas `all`" on the log odds of `z`, drawn by
+    `ridge` towards (1, 0). Newton's steps on all rows; a step that doesn't lower an area's loss is halved. The driver holds
+    six sums an area and task."""
+    held = cut(told.select("all", "z").coalesce(told.sparkSession.sparkContext.defaultParallelism))
+
+    def sums(beta: np.ndarray) -> np.ndarray:
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = np.zeros((areas, 6))
+            for b in batches:
+                z = b.column("z").flatten().to_numpy().reshape(-1, areas)
+                x, y = np.clip(np.log(np.maximum(z, 1e-9) / np.maximum(1 - z, 1e-9)), -12, 12), np.zeros(z.shape)
+                y[np.repeat(np.arange(len(z)), np.diff(b.column("all").offsets.to_numpy())), b.column("all").flatten().to_numpy() - 1] = 1
+                eta = beta[:, 0] * x + beta[:, 1]
+                q = 1 / (1 + np.exp(-eta))
+                v = q * (1 - q)
+                out += np.column_stack([k.sum(0) for k in (np.logaddexp(0, eta) - y * eta, (q - y) * x, q - y, v * x * x, v * x, v)])
+            yield pa.RecordBatch.from_arrays([pa.array([out.reshape(-1).tolist()], pa.list_(pa.float64()))], ["s"])
+
+        return sum((np.array(r["s"]).reshape(areas, 6) for r in held.mapInArrow(part, "s array<double>").collect()), np.zeros((areas, 6)))
+
+    origin = np.tile([1.0, 0.0], (areas, 1))
+    beta, step, low = origin.copy(), np.zeros((areas, 2)), np.full(areas, np.inf)
     for _ in range(steps):
-        q = 1 / (1 + np.exp(-a @ beta))
-        beta = beta + np.linalg.solve(bound, a.T @ (y - q) - ridge * (beta - [1, 0]))
-    return max(float(beta[0]), 0.05), float(beta[1])
+        t, off = sums(beta + step), beta + step - origin
+        loss = t[:, 0] + ridge / 2 * (off**2).sum(1)
+        for k in range(areas):
+            if loss[k] <= low[k] + 1e-9 * abs(loss[k]):
+                beta[k], low[k] = beta[k] + step[k], loss[k]
+                step[k] = -np.linalg.solve(np.array([[t[k, 3], t[k, 4]], [t[k, 4], t[k, 5]]]) + ridge * np.eye(2), t[k, 1:3] + ridge * off[k])
+            else:
+                step[k] /= 2
+        if np.abs(step).max() < 1e-6:
+            break
+    return [(max(float(b[0]), 0.05), float(b[1])) for b in beta]

@@ -163,6 +163,31 @@ def test_areas_count_long_documents_in_full(spark, monkeypatch):
     assert len(seen) == 1 and abs(seen[0] - 520 * 3) < 1e-2
 
 
+def test_areas_are_fitted_on_all_documents(spark, monkeypatch):
+    """More than a million documents, each of whose words counts in a round."""
+    n = 1_030_000
+    docs = spark.range(n).selectExpr("id as doc_id", "if(id % 2 = 0, 'Tap glass', 'Brush hair') as text")
+    labels = spark.createDataFrame([(0, "tap"), (1, "brush")], "doc_id long, area string")
+    seen, real = [], topics.pooled_log
+    monkeypatch.setattr(topics, "pooled_log", lambda x: seen.append(x.sum()) or real(x))
+    topics.areas(docs, "doc_id", "text", labels, "area", rounds=1)
+    assert len(seen) == 1 and abs(seen[0] - 2 * n) < 1
+
+
+def test_calibration_takes_all_held_documents(spark):
+    """The fit of 30,000 documents has no slope left over all of them; no documents leave the posteriors as they are."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 4, (30_000, 2))
+    y = rng.random(x.shape) < 1 / (1 + np.exp(-(np.array([0.4, 1.7]) * x + [-2, 1])))
+    z = 1 / (1 + np.exp(-x))
+    rows = spark.createDataFrame([([k + 1 for k in range(2) if b[k]], a.tolist()) for a, b in zip(z, y, strict=True)], "`all` array<int>, z array<double>")
+    for k, (slope, shift) in enumerate(topics.calibrations(rows, 2)):
+        odds = np.clip(np.log(z[:, k] / (1 - z[:, k])), -12, 12)
+        miss = 1 / (1 + np.exp(-(slope * odds + shift))) - y[:, k]
+        assert abs((miss * odds).sum() + 5 * (slope - 1)) < 1e-3 and abs(miss.sum() + 5 * shift) < 1e-3
+    assert topics.calibrations(rows.limit(0), 2) == [(1.0, 0.0)] * 2
+
+
 def test_unsure_runs_go_to_a_neighbour():
     """Every word from the first that is told on is in one run, also where a run in the middle is unsure."""
     rng = np.random.default_rng(7)
